@@ -30,17 +30,16 @@ def namespace_paths(
     return ns.sparkSession.sql(
         """
         WITH RECURSIVE tree (name_key, path, type) AS (
-          SELECT name_key, concat({sep}, name), type FROM {ns} WHERE name_key = {root}
+          SELECT name_key, concat(:separator, name), type FROM {ns} WHERE name_key = :root
           UNION ALL
-          SELECT child.name_key, concat(parent.path, {sep}, child.name), child.type
+          SELECT child.name_key, concat(parent.path, :separator, child.name), child.type
           FROM tree parent JOIN {nodes} child ON child.parent_key = parent.name_key
         )
         SELECT name_key, path, type FROM tree
         """,
+        args={"root": root, "separator": PATH_SEPARATOR},
         ns=ns,
         nodes=nodes,
-        root=F.lit(root),
-        sep=F.lit(PATH_SEPARATOR),
     )
 
 

@@ -283,3 +283,9 @@ def with_views(body: str, recursive: bool = False) -> str:
         joiner = " "
     head = ("WITH RECURSIVE " if recursive else "WITH ") if (ctes or joiner == "") else ""
     return duck(f"{head}{ctes}{joiner}{body}")
+
+
+def over(df: DataFrame, view: str, source: str) -> DataFrame:
+    """A canonical table that needs one source, derived from ``df`` instead."""
+    text = re.sub(rf"\bFROM {source}\b", f"FROM {{{source}}} AS {source}", _spark(VIEWS[view]))
+    return df.sparkSession.sql(text, **{source: df})
