@@ -80,8 +80,8 @@ def chart_parts(
     """Each chart as rows: the chart itself with its owner, then its keywords,
     tags, properties and dashboard members, one JSON ``content`` per row.
 
-    Nothing is gathered, so a chart may have any number of parts. Ordered by
-    chart type, key and section.
+    Nothing is gathered, so a chart may have any number of parts. To write
+    them in order, sort by chart_type, chart_key, section_no, item.
     """
     key = F.col("chart_key")
     kinds = charts.select("chart_key", "chart_type")
@@ -112,7 +112,9 @@ def chart_parts(
             section(dashboards.join(urls, "member_key"), "dashboard", "url", "url", "position")
         )
     )
-    return parts.join(kinds, "chart_key").orderBy("chart_type", "chart_key", "section_no", "item")
+    return parts.join(kinds, "chart_key").select(
+        "chart_type", "chart_key", "section_no", "section", "item", "content"
+    )
 
 
 def chart_bundles(

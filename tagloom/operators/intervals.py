@@ -13,7 +13,7 @@ from tagloom.functions.time import MS, div, instant, micros, to_us
 from tagloom.operators.retrieval import since, wide_us
 from tagloom.operators.summary import statistics, weighted
 from tagloom.plans.blocks import BLOCK_MS, in_order, runs
-from tagloom.sources.history import in_range_us, scan_history
+from tagloom.sources.history import in_range_us, samples_us, scan_history
 
 
 def slice_by(
@@ -35,14 +35,13 @@ def slice_by(
     and no interval join is needed.
     """
     summary_tags = list(summary_tags)
-    slicing = in_range_us(scan_history(df, [slice_tag]), start, end, "()", bound=False)
+    slicing = samples_us(scan_history(df, [slice_tag]), start, end, "()")
     not_a_number = F.lit(float("nan"))
     starts = (
         runs(slicing, ["value"], block_ms=block_ms)
         .select(
             F.explode(F.array(*[F.lit(t) for t in summary_tags])).alias("tag"),
             "us",
-            F.lit(0).alias("kind"),
             F.lit(None).cast("double").alias("v"),
             F.col("us").alias("slice_us"),
             # The open run only ends the slice before it.
@@ -50,10 +49,9 @@ def slice_by(
             F.coalesce("value", not_a_number).alias("slice_v"),
         )
     )
-    samples = in_range_us(scan_history(df, summary_tags), start, end, "[)").select(
+    samples = in_range_us(scan_history(df, summary_tags), start, end).select(
         "tag",
         "us",
-        F.lit(1).alias("kind"),
         F.coalesce("value", not_a_number).alias("v"),
         F.lit(None).cast("long").alias("slice_us"),
         F.lit(None).cast("long").alias("slice_end"),
@@ -62,13 +60,15 @@ def slice_by(
     stretches = in_order(
         starts.unionByName(samples),
         ["v", "slice_us", "slice_end", "slice_v"],
-        tie_break=["kind"],
+        # At one instant the slice begins before the sample.
+        tie_break=[F.col("slice_us").isNull()],
+        marks={"sampled": F.col("v").isNotNull()},
         block_ms=block_ms,
     ).filter("slice_end >= 0 AND next_us > us")
 
     value = F.when(~F.isnan("v"), F.col("v"))
     sums = stretches.groupBy("tag", "slice_us", "slice_end", "slice_v").agg(
-        F.sum("kind").alias("samples"),
+        F.count_if("sampled").alias("samples"),
         *weighted(value, F.col("next_us") - F.col("us")),
     )
     length = F.col("slice_end") - F.col("slice_us")
@@ -100,7 +100,7 @@ def threshold_extrema(
     the other closes one excursion and opens the next at the same instant.
     """
     tags = [tag] if isinstance(tag, str) else list(tag)
-    rows = in_range_us(scan_history(df, tags), start, end, "[)").select(
+    rows = in_range_us(scan_history(df, tags), start, end).select(
         "tag",
         "us",
         "value",

@@ -25,8 +25,7 @@ def namespace_paths(
 ) -> DataFrame:
     """Every group below ``root`` with its full path; groups of a skipped type
     and all below them are left out. The root itself is always kept."""
-    skipped = ns.filter(F.col("type").isin(list(skip_types)))
-    nodes = ns.join(skipped.select("name_key").distinct(), "name_key", "left_anti")
+    nodes = ns.filter(~F.col("type").isin(list(skip_types)))
     return ns.sparkSession.sql(
         """
         WITH RECURSIVE tree (name_key, path, type) AS (

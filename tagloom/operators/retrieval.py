@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.time import MS, between_ts, div, instant, micros, ts_lit
-from tagloom.plans.blocks import BLOCK_MS, in_order, runs
+from tagloom.plans.blocks import BLOCK_MS, block_of, in_order, runs
 from tagloom.plans.cycles import Cycles
 from tagloom.sources.history import good_value, in_range_us, live, scan_history
 
@@ -140,12 +140,17 @@ def wide_us(df: DataFrame, tags: Sequence[str], start, end, block_ms: int) -> Da
     """``wide`` on microseconds, with ``next_us``."""
     tags = list(tags)
     listed = scan_history(df, tags)
-    changes = runs(in_range_us(listed, start, end, "[]"), ["value"], block_ms=block_ms)
+    changes = runs(in_range_us(listed, start, end, closed_end=True), ["value"], block_ms=block_ms)
     # NaN stands for "changed to NULL" until the values are filled forward.
     marked = F.coalesce(F.col("value"), F.lit(float("nan")))
     columns = [f"_tag_{i}" for i in range(len(tags))]
-    pivoted = changes.groupBy("us").agg(
-        *[F.max(F.when(F.col("tag") == t, marked)).alias(c) for t, c in zip(tags, columns)]
+    # Partitioned by block at once: instants and the order within a block need
+    # no further shuffle.
+    pivoted = (
+        changes.select("tag", "us", marked.alias("v"), block_of(F.col("us"), block_ms).alias("_blk"))
+        .repartition("_blk")
+        .groupBy("_blk", "us")
+        .agg(*[F.max(F.when(F.col("tag") == t, F.col("v"))).alias(c) for t, c in zip(tags, columns)])
     )
     filled = in_order(pivoted, columns, keys=(), block_ms=block_ms)
     return filled.select(

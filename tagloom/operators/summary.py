@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.time import MS, SECOND, as_datetime, div, instant, midnight, shift, ts_lit
 from tagloom.plans.blocks import BLOCK_MS, block_of, runs
 from tagloom.plans.cycles import Cycles
-from tagloom.sources.history import for_tags, in_range_us, scan_history
+from tagloom.sources.history import bound_us, for_tags, in_range_us, samples_us, scan_history
 
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
@@ -71,12 +71,10 @@ def analog_summary(
     sample is never multiplied and a busy tag is shared among many tasks.
     """
     grid = Cycles.of(start, end, resolution_ms, cycles)
-    listed = in_range_us(df, start, end, "[)")
     part = ["tag", "cycle", "block"]
     begin = grid.begin(F.col("cycle"))
 
-    first = listed.filter(F.col("us") == grid.start_us)
-    bound = first.select(
+    bound = bound_us(df, start).select(
         "tag",
         F.lit(0).cast("long").alias("cycle"),
         F.col("us").alias("first_us"),
@@ -88,7 +86,7 @@ def analog_summary(
     order = Window.partitionBy(*part).orderBy("us")
     cycle = grid.index(F.col("us"))
     inside = (
-        listed.filter(F.col("us") > grid.start_us)
+        samples_us(df, start, end, "()")
         .withColumn("cycle", cycle)
         .withColumn("block", block_of(F.col("us") - begin, block_ms))
         .withColumn("next_us", F.lead("us").over(order))
@@ -190,7 +188,7 @@ def state_summary(
     ``start`` or is open at ``end`` is never contained.
     """
     grid = Cycles.of(start, end, resolution_ms, cycles)
-    states = runs(in_range_us(df, start, end, "[)"), ["value"], block_ms=block_ms)
+    states = runs(in_range_us(df, start, end), ["value"], block_ms=block_ms)
     stop = F.coalesce("end_us", F.lit(grid.end_us).cast("long"))
     pieces = states.select(
         "tag",

@@ -3,9 +3,8 @@
 A window partitioned by tag puts all samples of a busy tag into one task. The
 patterns here partition by (tag, time block) instead, so a tag holding any
 share of the data is spread over as many tasks as it has blocks. What crosses a
-block edge is settled on a table with one row per (tag, block), and joined
-back on the partitioning the samples already have: the samples are shuffled
-once, and no join strategy is forced.
+block edge is settled on a few rows per (tag, block); the samples themselves
+are shuffled once, and no join strategy is forced.
 
 ``block_ms`` bounds the rows a task sorts. The default suits tags sampled up
 to a few thousand times a second; ``suggest_block_ms`` derives it from the data
@@ -53,6 +52,18 @@ def _same(pairs) -> Column:
     return reduce(lambda a, b: a & b, (x.eqNullSafe(y) for x, y in pairs))
 
 
+def blocked(df: DataFrame, keys: Sequence[str], block_ms: int) -> DataFrame:
+    """``df`` with its block number ``_blk``.
+
+    Rows without key or time have no place in an order. Dropping them here also
+    keeps the plans that branch off alike, so that they share one shuffle.
+    """
+    if "_blk" not in df.columns:
+        df = df.withColumn("_blk", block_of(F.col("us"), block_ms))
+    present = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in [*keys, "_blk"]))
+    return df.filter(present)
+
+
 def runs(
     df: DataFrame,
     state: Sequence[str],
@@ -69,110 +80,104 @@ def runs(
 
     Adds ``end_us``, the first instant of the next run (NULL for the last run),
     and, without ``aggs``, ``first_run``, true for the first run of a key.
+
+    Runs inside a block are final as they stand. Only the first and last run of
+    each block are ordered per key, to see which of them go on from the block
+    before and where the last one ends.
     """
     keys, state = list(keys), list(state)
     part = [*keys, "_blk"]
     w = Window.partitionBy(*part).orderBy("us")
 
-    rows = df.withColumn("_blk", block_of(F.col("us"), block_ms))
     head = F.row_number().over(w) == 1
     changed = ~_same((F.lag(c).over(w), F.col(c)) for c in state)
-    marked = rows.withColumn("_head", head).withColumn("_break", F.col("_head") | changed)
+    marked = blocked(df, keys, block_ms).select("*", head.alias("_head"), changed.alias("_changed"))
+    breaks = F.col("_head") | F.col("_changed")
 
     if aggs is None:
-        local = marked.filter("_break").drop("_break")
+        kept = df.columns
+        local = marked.filter(breaks)
     else:
+        kept = [*keys, *state, "us", *aggs]
         upto = w.rowsBetween(Window.unboundedPreceding, 0)
         local = (
-            marked.withColumn("_run", F.sum(F.col("_break").cast("int")).over(upto))
+            marked.withColumn("_run", F.sum(breaks.cast("int")).over(upto))
             .groupBy(*part, "_run", *state)
             .agg(
                 F.min("us").alias("us"),
-                *[rows_agg.alias(name) for name, (rows_agg, _) in aggs.items()],
+                *[over_rows.alias(name) for name, (over_rows, _) in aggs.items()],
             )
             .withColumn("_head", F.col("_run") == 1)
-            .drop("_run")
         )
-    local = local.withColumn("_next", F.lead("us").over(w))
-
-    # One row per (key, block): its first and last run, and its first inner change.
-    per_block = local.groupBy(*part).agg(
-        F.min("us").alias("_head_us"),
-        F.max("us").alias("_tail_us"),
-        F.min(F.when(~F.col("_head"), F.col("us"))).alias("_second_us"),
-        *[F.min_by(c, "us").alias(f"_head_{i}") for i, c in enumerate(state)],
-        *[F.max_by(c, "us").alias(f"_tail_{i}") for i, c in enumerate(state)],
-    )
-    asc = Window.partitionBy(*keys).orderBy("_blk")
-    before = asc.rowsBetween(Window.unboundedPreceding, -1)
-    after = (
-        Window.partitionBy(*keys)
-        .orderBy(F.desc("_blk"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    opens_key = F.lag("_blk").over(asc).isNull()
-    continues = ~opens_key & _same(
-        (F.col(f"_head_{i}"), F.lag(f"_tail_{i}").over(asc)) for i in range(len(state))
+    local = local.select(*kept, "_head", F.lead("us").over(w).alias("_next"))
+    inside = ~F.col("_head") & F.col("_next").isNotNull()
+
+    inner = local.filter(inside).select(
+        *kept, F.col("_next").alias("end_us"), F.lit(False).alias("first_run")
     )
-    resolved = (
-        per_block.withColumn("_first_block", opens_key)
-        .withColumn("_continues", continues)
-        .withColumn(
-            "_change",
-            F.when(F.col("_continues"), F.col("_second_us")).otherwise(F.col("_head_us")),
+    asc = Window.partitionBy(*keys).orderBy("us")
+    desc = Window.partitionBy(*keys).orderBy(F.desc("us"))
+    later = desc.rowsBetween(Window.unboundedPreceding, -1)
+    outer = (
+        local.filter(~inside)
+        .select(
+            "*",
+            F.lag("us").over(asc).isNull().alias("first_run"),
+            _same((F.lag(c).over(asc), F.col(c)) for c in state).alias("_as_before"),
         )
         .withColumn(
-            "_opened",
-            F.when(~F.col("_continues") | F.col("_second_us").isNotNull(), F.col("_tail_us")),
-        )
-        .select(
-            *part,
-            "_first_block",
-            "_continues",
-            F.last("_opened", ignorenulls=True).over(before).alias("_chain_us"),
-            F.min("_change").over(after).alias("_next_change"),
+            "_goes_on", F.col("_head") & F.col("_as_before") & ~F.col("first_run")
         )
     )
+    # The first change at or after a row: itself, or the next run of its block.
+    change = F.when(F.col("_goes_on"), F.col("_next")).otherwise(F.col("us"))
+    end = F.coalesce("_next", F.min(change).over(later))
 
-    joined = local.join(resolved, part).withColumn(
-        "end_us", F.coalesce("_next", "_next_change")
-    )
-    inherited = F.col("_head") & F.col("_continues")
     if aggs is None:
-        return (
-            joined.filter(~inherited)
-            .withColumn("first_run", F.col("_head") & F.col("_first_block"))
-            .drop(*[c for c in joined.columns if c.startswith("_")])
-        )
-    return (
-        joined.withColumn("_run_us", F.when(inherited, F.col("_chain_us")).otherwise(F.col("us")))
-        .groupBy(*keys, *state, "_run_us")
+        settled = outer.select(*kept, end.alias("end_us"), "first_run", "_goes_on")
+        return inner.unionByName(settled.filter(~F.col("_goes_on")).drop("_goes_on"))
+
+    so_far = asc.rowsBetween(Window.unboundedPreceding, 0)
+    began = F.last(F.when(~F.col("_goes_on"), F.col("us")), ignorenulls=True).over(so_far)
+    merged = (
+        outer.select("*", began.alias("_began"), end.alias("end_us"))
+        .groupBy(*keys, *state, "_began")
         .agg(
             F.max("end_us").alias("end_us"),
-            *[pieces_agg.alias(name) for name, (_, pieces_agg) in aggs.items()],
+            *[over_pieces.alias(name) for name, (_, over_pieces) in aggs.items()],
         )
-        .withColumnRenamed("_run_us", "us")
+        .withColumnRenamed("_began", "us")
     )
+    return inner.drop("first_run").unionByName(merged)
 
 
 def in_order(
     df: DataFrame,
     fill: Sequence[str],
     keys: Sequence[str] = ("tag",),
-    tie_break: Sequence[str] = (),
+    tie_break: Sequence[Column] = (),
+    marks: dict[str, Column] | None = None,
     block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """Forward-fill columns and look ahead, per key in order of ``us``.
 
     Each column in ``fill`` becomes its last non-NULL value at or before the
     row; ``next_us`` is the time of the next row of the key, NULL on the last.
+    ``marks`` are further columns, computed from the row before filling. The
+    result has the keys, ``us``, and these.
+
+    A frame that has a ``_blk`` column is taken to be partitioned by it.
     """
     keys = list(keys)
+    marks = marks or {}
     part = [*keys, "_blk"]
     w = Window.partitionBy(*part).orderBy("us", *tie_break)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
 
-    rows = df.withColumn("_blk", block_of(F.col("us"), block_ms))
+    rows = blocked(df, keys, block_ms).select(*part, "us", *fill)
+    if "_blk" not in df.columns:
+        # One shuffle, read both for the rows and for what each block hands on.
+        rows = rows.repartition(*part)
     per_block = rows.groupBy(*part).agg(
         F.min("us").alias("_first_us"),
         *[
@@ -191,13 +196,16 @@ def in_order(
         ],
     )
     local = rows.select(
-        *[c for c in rows.columns if c not in fill],
+        *part,
+        "us",
+        *[c.alias(name) for name, c in marks.items()],
         *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in fill],
         F.lead("us").over(w).alias("_next"),
     )
-    joined = local.join(carried, part)
-    return joined.select(
-        *[c for c in df.columns if c not in fill],
+    return local.join(carried, part).select(
+        *keys,
+        "us",
+        *marks,
         *[F.coalesce(F.col(c), F.col(f"_carry_{i}")).alias(c) for i, c in enumerate(fill)],
         F.coalesce("_next", "_next_first").alias("next_us"),
     )

@@ -63,29 +63,35 @@ def start_bound(df: DataFrame, start) -> DataFrame:
     )
 
 
-def in_range_us(df: DataFrame, start, end, bounds: str = "[)", bound: bool = True) -> DataFrame:
-    """Samples in a range as tag, us, value (NULL unless good), preceded by the
-    start-bound row; ``carried`` marks a bound sampled before ``start``.
-
-    A sample at exactly ``start`` is the start-bound row. With
-    ``bound=False`` only the samples themselves are returned.
-    """
-    inner = bounds if not bound else "(" + bounds[1]
-    samples = scan_history(df, None, start, end, inner).select(
+def samples_us(df: DataFrame, start, end, bounds: str = "[)") -> DataFrame:
+    """Samples in a range as tag, us, value (NULL unless good), and
+    ``carried``, false."""
+    return scan_history(df, None, start, end, bounds).select(
         "tag",
         micros(F.col("ts")).alias("us"),
         good_value().alias("value"),
         F.lit(False).alias("carried"),
     )
-    if not bound:
-        return samples
-    first = start_bound(df, start).select(
+
+
+def bound_us(df: DataFrame, start) -> DataFrame:
+    """The start-bound row of each tag like ``samples_us``; ``carried`` is true
+    for one sampled before ``start``."""
+    return start_bound(df, start).select(
         "tag",
         F.lit(to_us(start)).cast("long").alias("us"),
         good_value().alias("value"),
         (F.col("sampled_ts") < ts_lit(start)).alias("carried"),
     )
-    return first.unionByName(samples)
+
+
+def in_range_us(df: DataFrame, start, end, closed_end: bool = False) -> DataFrame:
+    """The start-bound row of each tag and the samples after it, up to ``end``.
+
+    A sample at exactly ``start`` is the start-bound row.
+    """
+    samples = samples_us(df, start, end, "(]" if closed_end else "()")
+    return bound_us(df, start).unionByName(samples)
 
 
 def in_time_zone(df: DataFrame, tz: str, source: str = "UTC", ts: str = "ts") -> DataFrame:
