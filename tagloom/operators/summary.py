@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.time import MS, SECOND, as_datetime, div, instant, midnight, shift, ts_lit
 from tagloom.plans.blocks import BLOCK_MS, block_of, runs
 from tagloom.plans.cycles import Cycles
+from tagloom.session import ensure
 from tagloom.sources.history import bound_us, for_tags, in_range_us, samples_us, scan_history
 
 HOUR_MS = 3_600_000
@@ -44,7 +45,10 @@ def statistics(length_us: Column) -> dict[str, Column]:
         "maximum": F.col("highest.v"),
         "max_ts": instant(-F.col("highest.us")),
         "average": average,
-        "std_dev": F.sqrt(F.greatest(mean_square - average * average, F.lit(0.0))),
+        # GREATEST skips NULLs; without weight there is no deviation either.
+        "std_dev": F.when(
+            average.isNotNull(), F.sqrt(F.greatest(mean_square - average * average, F.lit(0.0)))
+        ),
         "integral": F.col("area"),
         "value_count": F.coalesce("samples", F.lit(0)).cast("long"),
         "percent_good": F.coalesce("good_us", F.lit(0)) * F.lit(100.0) / length_us,
@@ -70,6 +74,7 @@ def analog_summary(
     the value leaving each block is spread over the cycles it reaches, so a
     sample is never multiplied and a busy tag is shared among many tasks.
     """
+    ensure(df.sparkSession)
     grid = Cycles.of(start, end, resolution_ms, cycles)
     part = ["tag", "cycle", "block"]
     begin = grid.begin(F.col("cycle"))

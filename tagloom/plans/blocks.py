@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.time import MS, floor_div
+from tagloom.session import ensure
 
 BLOCK_MS = 3_600_000
 
@@ -58,6 +59,7 @@ def blocked(df: DataFrame, keys: Sequence[str], block_ms: int) -> DataFrame:
     Rows without key or time have no place in an order. Dropping them here also
     keeps the plans that branch off alike, so that they share one shuffle.
     """
+    ensure(df.sparkSession)
     if "_blk" not in df.columns:
         df = df.withColumn("_blk", block_of(F.col("us"), block_ms))
     present = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in [*keys, "_blk"]))

@@ -14,6 +14,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A union of inputs partitioned alike is taken to keep that partitioning
+    # (Spark 4.1), but adaptive execution may since have coalesced the inputs
+    # differently: such plans fail, or would group wrongly.
+    "spark.sql.unionOutputPartitioning": "false",
     # Namespaces may be larger than the default row limit of recursive queries.
     "spark.sql.cteRecursionRowLimit": "-1",
 }
@@ -26,6 +30,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ensure(spark: SparkSession) -> None:
+    """Apply the settings results depend on, unless they are in force."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.unionOutputPartitioning"):
+        if spark.conf.get(key, None) != SETTINGS[key]:
+            spark.conf.set(key, SETTINGS[key])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

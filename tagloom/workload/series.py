@@ -373,8 +373,9 @@ def _(t):
                      CAST(q.v AS VARCHAR) AS slice_value, area / (w / 1e6) AS average,
                      (q.end_us - q.us) // 1000 AS duration_ms, mn AS minimum,
                      make_timestamp(mn_us) AS min_ts, mx AS maximum, make_timestamp(mx_us) AS max_ts,
-                     sqrt(greatest(area2 / (w / 1e6) - (area / (w / 1e6)) * (area / (w / 1e6)), 0))
-                       AS std_dev,
+                     CASE WHEN w > 0 THEN
+                       sqrt(greatest(area2 / (w / 1e6) - (area / (w / 1e6)) * (area / (w / 1e6)), 0))
+                     END AS std_dev,
                      area AS integral, CAST(coalesce(n, 0) AS BIGINT) AS value_count,
                      coalesce(w, 0) * 100.0 / (q.end_us - q.us) AS percent_good
               FROM q LEFT JOIN g ON g.tag = q.tag AND g.s_us = q.us)

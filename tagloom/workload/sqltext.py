@@ -69,7 +69,8 @@ def summary_ctes(name: str, source: str, start: str, end: str, width_us: int) ->
              make_timestamp(least({lo} + (t.cyc + 1) * {width_us}, {hi})) AS end_ts,
              mn AS minimum, make_timestamp(mn_us) AS min_ts, mx AS maximum,
              make_timestamp(mx_us) AS max_ts, area / (w / 1e6) AS average,
-             sqrt(greatest(area2 / (w / 1e6) - (area / (w / 1e6)) * (area / (w / 1e6)), 0)) AS std_dev,
+             CASE WHEN w > 0 THEN
+               sqrt(greatest(area2 / (w / 1e6) - (area / (w / 1e6)) * (area / (w / 1e6)), 0)) END AS std_dev,
              area AS integral, CAST(coalesce(n, 0) AS BIGINT) AS value_count,
              coalesce(w, 0) * 100.0 / (least((t.cyc + 1) * {width_us}, {hi - lo}) - t.cyc * {width_us})
                AS percent_good

@@ -31,7 +31,8 @@ def test_slice_by(hist, width):
 def test_slices_start_after_the_window_opens(hist, width):
     df = hist([("p", 0, 1), ("p", 5, 2), ("p", 9, 3), ("t", 0, 1)])
     got = intervals.slice_by(df, "p", ["t"], at(0), at(9), block_ms=width).collect()
-    assert got == [] or [(sec(r.start_ts), sec(r.end_ts)) for r in got] == []
+    # Only the change at 5 lies in the open window, and its run has no end.
+    assert got == []
 
 
 @pytest.mark.parametrize("width", WIDTHS)
