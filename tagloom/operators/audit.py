@@ -124,27 +124,29 @@ def chart_bundles(
     properties: DataFrame,
     dashboards: DataFrame,
     users: DataFrame,
+    max_items: int = 10_000,
 ) -> DataFrame:
-    """One JSON document per chart.
+    """One JSON document per chart, ordered by chart type and key.
 
-    A document is one row, so this suits charts whose parts fit in memory;
-    ``chart_parts`` has no such bound.
+    A chart of more than about ``max_items`` parts is spread over several
+    documents, numbered ``part_no`` of ``parts``, as a document is one row.
     """
-    parts = chart_parts(charts, keywords, tags, properties, dashboards, users)
+    items = chart_parts(charts, keywords, tags, properties, dashboards, users)
+    sizes = items.groupBy("chart_key").agg(F.ceil(F.count("*") / max_items).cast("int").alias("parts"))
+    numbered = items.join(sizes, "chart_key").withColumn(
+        "part_no", F.pmod(F.xxhash64("section", "item", "content"), F.col("parts")).cast("int")
+    )
 
-    def items(name: str):
+    def listed(name: str):
         chosen = F.when(F.col("section") == name, F.struct("item", "content"))
         return F.transform(F.sort_array(F.collect_list(chosen)), lambda s: s["content"])
 
+    key = ["chart_type", "chart_key", "part_no", "parts"]
     return (
-        parts.groupBy("chart_type", "chart_key")
-        .agg(*[items(name).alias(name) for name in SECTIONS])
-        .select(
-            "chart_type",
-            "chart_key",
-            F.to_json(F.struct(*SECTIONS)).alias("document"),
-        )
-        .orderBy("chart_type", "chart_key")
+        numbered.groupBy(*key)
+        .agg(*[listed(name).alias(name) for name in SECTIONS])
+        .select(*key, F.to_json(F.struct(*SECTIONS)).alias("document"))
+        .orderBy(*key)
     )
 
 

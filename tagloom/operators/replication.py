@@ -140,6 +140,15 @@ def compatible_types() -> Column:
     )
 
 
+def _bucket(column: str, spread: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(spread)).cast("int").alias("bucket")
+
+
+def _per_bucket(df: DataFrame, spread: int) -> DataFrame:
+    """Each row of a small table once per bucket."""
+    return df.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+
+
 def missing_replication(
     tag: DataFrame,
     groups: DataFrame,
@@ -165,14 +174,14 @@ def missing_replication(
         .select(
             "tag",
             F.explode(compatible_types()).alias("type_key"),
-            F.pmod(F.xxhash64("tag"), F.lit(spread)).cast("int").alias("bucket"),
+            _bucket("tag", spread),
         )
     )
-    targets = (
+    targets = _per_bucket(
         groups.join(servers.select("server_key", F.col("name").alias("server")), "server_key")
         .filter(F.col("server") != LOCAL_SERVER)
-        .select("group_key", F.col("name").alias("group"), "server", "type_key")
-        .withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        .select("group_key", F.col("name").alias("group"), "server", "type_key"),
+        spread,
     )
     existing = entities.select(F.col("source_tag").alias("tag"), "group_key")
     return (
@@ -301,12 +310,16 @@ def backfill_requests(
     now_utc,
     min_period: int = 0,
     pattern: str = "%",
+    spread: int = 32,
 ) -> DataFrame:
     """Requests for every entity of a server and every window, less those queued.
 
     An entity counts when its tag matches and its group's schedule is at least
-    ``min_period`` minutes long. A request starts 1 ms into its window. The
-    result is by definition entities times windows; windows are few.
+    ``min_period`` minutes long. A request starts 1 ms into its window.
+
+    The result is by definition each entity with each window. Entities are
+    spread over ``spread`` buckets and the windows, one per history block,
+    repeated per bucket, so that they meet in a hash join.
     """
     start = shift(F.col("start_utc"), milliseconds=1)
     scheduled = (
@@ -317,15 +330,18 @@ def backfill_requests(
     wanted = (
         entities.filter((F.col("server_key") == server) & F.col("source_tag").like(pattern))
         .join(scheduled, "group_key", "left_semi")
-        .select("entity_key")
+        .select("entity_key", _bucket("entity_key", spread))
         .distinct()
     )
-    spans = windows.select(
-        start.alias("mod_start_utc"), F.col("end_utc").alias("mod_end_utc")
-    ).distinct()
+    spans = _per_bucket(
+        windows.select(
+            start.alias("mod_start_utc"), F.col("end_utc").alias("mod_end_utc")
+        ).distinct(),
+        spread,
+    )
     queued = queue.select("entity_key", "mod_start_utc", "mod_end_utc")
     return (
-        wanted.crossJoin(spans)
+        wanted.join(spans, "bucket")
         .join(queued, ["entity_key", "mod_start_utc", "mod_end_utc"], "left_anti")
         .select(
             "entity_key",

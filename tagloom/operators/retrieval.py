@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.functions.time import MS, between_ts, div, instant, micros, ts_lit
+from tagloom.functions.time import MS, between_ts, div, instant, micros
 from tagloom.plans.blocks import BLOCK_MS, block_of, in_order, runs
 from tagloom.plans.cycles import Cycles
 from tagloom.sources.history import good_value, in_range_us, live, scan_history
@@ -57,7 +57,7 @@ def cyclic(
         div(us - lo + F.lit(grid.width_us - 1).cast("long"), grid.width_us)
     )
     last = (
-        df.filter(F.col("ts") < ts_lit(end))
+        scan_history(df, None, None, end, "[)")
         .select("tag", us.alias("us"), good_value().alias("value"), due.alias("k"))
         .groupBy("tag", "k")
         .agg(F.max_by("value", "us").alias("value"))
@@ -86,7 +86,7 @@ def since(df: DataFrame, start, end, closed_end: bool = True) -> DataFrame:
     columns = ("tag", "ts", "value", "quality")
     if start is None:
         return scan_history(df, None, None, end, "[]" if closed_end else "[)").select(*columns)
-    prior = live(df.filter(F.col("ts") < ts_lit(start))).select(*columns)
+    prior = live(scan_history(df, None, None, start, "[)")).select(*columns)
     inside = scan_history(df, None, start, end, "[]" if closed_end else "[)").select(*columns)
     return prior.unionByName(inside)
 

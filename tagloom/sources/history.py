@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.functions.time import between_ts, instant, micros, to_us, ts_lit
+from tagloom.functions.time import as_datetime, between_ts, micros, to_us, ts_lit
 from tagloom.schemas import GOOD
 
 
@@ -24,14 +24,27 @@ def scan_history(
     bounds: str = "[)",
 ) -> DataFrame:
     """Samples of some tags in a time range; the ends are open or closed as
-    ``bounds`` says. Both filters reach the scan."""
+    ``bounds`` says. Both filters reach the scan, and a history stored by
+    ``day`` is pruned to the days in the range."""
     if tags is not None:
         df = df.filter(F.col("tag").isin(list(tags)))
     if start is not None or end is not None:
         df = df.filter(between_ts(F.col("ts"), start, end, bounds))
+        df = df.filter(_days(df, start, end))
     return df
 
 
+def _days(df: DataFrame, start, end) -> Column:
+    """Test on the ``day`` partition column, true where there is none."""
+    test = F.lit(True)
+    if "day" in df.columns:
+        if start is not None:
+            test = test & (F.col("day") >= F.lit(as_datetime(start).date()))
+        if end is not None:
+            test = test & (F.col("day") <= F.lit(as_datetime(end).date()))
+    return test
+
+
 def for_tags(df: DataFrame, tags_df: DataFrame) -> DataFrame:
     """Samples of the tags listed in a table.
 
@@ -53,7 +66,7 @@ def live(df: DataFrame) -> DataFrame:
 def start_bound(df: DataFrame, start) -> DataFrame:
     """The value each tag has at ``start``: its last sample at or before it,
     stamped at ``start``. ``sampled_ts`` is the sample's own time."""
-    before = df.filter(F.col("ts") <= ts_lit(start))
+    before = scan_history(df, None, None, start, "[]")
     return live(before).select(
         "tag",
         ts_lit(start).alias("ts"),
@@ -63,6 +76,23 @@ def start_bound(df: DataFrame, start) -> DataFrame:
     )
 
 
+def snapshot(df: DataFrame, at) -> DataFrame:
+    """The last sample of each tag at or before an instant, to be stored."""
+    return live(scan_history(df, None, None, at, "[]"))
+
+
+def from_snapshot(df: DataFrame, stored: DataFrame, at) -> DataFrame:
+    """History that answers as ``df`` does for any range starting after ``at``,
+    without reading the samples up to there.
+
+    ``stored`` is the ``snapshot`` of that instant. Values in force at the start
+    of a range otherwise cost a scan of all earlier samples.
+    """
+    columns = ["tag", "ts", "value", "quality"]
+    later = scan_history(df, None, at, None, "()")
+    return stored.select(*columns).unionByName(later.select(*columns))
+
+
 def samples_us(df: DataFrame, start, end, bounds: str = "[)") -> DataFrame:
     """Samples in a range as tag, us, value (NULL unless good), and
     ``carried``, false."""
@@ -112,9 +142,16 @@ def latest_version(
 
 
 def append_samples(df: DataFrame, path: str) -> None:
-    """Append samples to a history folder, partitioned by day."""
+    """Append samples to a history folder, partitioned by day.
+
+    Rows are split by range of day, tag and time, whatever their skew, so that
+    each task writes few files and each file covers few tags and a short time.
+    """
+    order = ["day", "tag", "ts"]
     (
         df.select("tag", "ts", "value", "quality", F.to_date("ts").alias("day"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("append")
         .partitionBy("day")
         .parquet(path)
@@ -122,12 +159,6 @@ def append_samples(df: DataFrame, path: str) -> None:
 
 
 def read_history(spark, path: str) -> DataFrame:
-    """A history folder written by ``append_samples``. Filters on ``ts`` prune
-    row groups; filter on ``day`` as well to prune folders."""
+    """A history folder written by ``append_samples``; ``scan_history`` prunes
+    its days, and filters on tag and time its row groups."""
     return spark.read.parquet(path)
-
-
-def samples_from_us(df: DataFrame) -> DataFrame:
-    """Turn ``us`` back into the ``ts`` column, placed after ``tag``."""
-    rest = [c for c in df.columns if c not in ("tag", "us")]
-    return df.select("tag", instant(F.col("us")).alias("ts"), *rest)

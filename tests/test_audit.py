@@ -52,6 +52,13 @@ def test_chart_bundles(table):
     }
 
 
+def test_large_charts_are_spread_over_documents(table):
+    rows = audit.chart_bundles(*charts(table), max_items=2).collect()
+    assert {(r.chart_key, r.parts) for r in rows} == {(1, 3), (2, 1)}
+    listed = [x for r in rows for part in json.loads(r.document).values() for x in part]
+    assert sorted(listed) == sorted(r.content for r in audit.chart_parts(*charts(table)).collect())
+
+
 def test_chart_parts_match_the_bundles(table):
     parts = audit.chart_parts(*charts(table))
     assert parts.count() == 8

@@ -101,3 +101,31 @@ def test_append_and_read_back(spark, hist, tmp_path):
         (1, 1.0, 192),
         (90_000, None, 0),
     ]
+
+
+def test_days_are_pruned(spark, hist, tmp_path):
+    path = str(tmp_path / "h")
+    history.append_samples(hist([("a", 86400 * d, d) for d in range(5)]), path)
+    df = history.scan_history(history.read_history(spark, path), None, at(86400), at(3 * 86400))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in text
+    assert sorted(r.value for r in df.collect()) == [1, 2]
+
+
+def test_snapshot_replaces_earlier_samples(hist):
+    from tagloom.operators.summary import analog_summary
+
+    df = hist([("a", t, t % 7) for t in range(0, 100, 3)] + [("b", 5, 1), ("c", 40, 2), ("d", 90, 3)])
+    stored = history.snapshot(df, at(40))
+    assert stored.count() == 3
+    short = history.from_snapshot(df, stored, at(40))
+    for start in (40, 55):
+        a, b = (
+            sorted(map(str, analog_summary(x, at(start), at(100), 9000).collect())) for x in (df, short)
+        )
+        assert a == b
+        a, b = (
+            sorted(map(str, retrieval.edges(x, F.col("value") > 3, "both", at(start + 1), at(100)).collect()))
+            for x in (df, short)
+        )
+        assert a == b
