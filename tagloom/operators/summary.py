@@ -76,7 +76,7 @@ def analog_summary(
     """
     ensure(df.sparkSession)
     grid = Cycles.of(start, end, resolution_ms, cycles)
-    part = ["tag", "cycle", "block"]
+    part = ["cycle", "block", "tag"]
     begin = grid.begin(F.col("cycle"))
 
     bound = bound_us(df, start).select(
@@ -89,30 +89,40 @@ def analog_summary(
     )
 
     order = Window.partitionBy(*part).orderBy("us")
-    cycle = grid.index(F.col("us"))
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inside = (
         samples_us(df, start, end, "()")
-        .withColumn("cycle", cycle)
+        .withColumn("cycle", grid.index(F.col("us")))
         .withColumn("block", block_of(F.col("us") - begin, block_ms))
-        .withColumn("next_us", F.lead("us").over(order))
-    )
-    value = F.when(F.col("next_us").isNotNull(), F.col("value"))
-    blocks = (
-        inside.groupBy(*part)
-        .agg(
-            F.min("us").alias("first_us"),
-            F.max("us").alias("last_us"),
-            F.max_by("value", "us").alias("last_value"),
-            F.count("*").alias("samples"),
-            *weighted(value, F.col("next_us") - F.col("us")),
+        .select(
+            *part,
+            "us",
+            "value",
+            (F.lead("us").over(order) - F.col("us")).alias("held_us"),
+            F.min("value").over(whole).alias("low"),
+            F.max("value").over(whole).alias("high"),
         )
-        .drop("block")
+    )
+    # Plain columns only, so that the sums are kept in a hash table.
+    held_s = F.col("held_us") / F.lit(float(SECOND))
+    blocks = inside.groupBy(*part).agg(
+        F.min("us").alias("first_us"),
+        F.max("us").alias("last_us"),
+        F.max_by("value", "us").alias("last_value"),
+        F.count("*").alias("samples"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("held_us"))).alias("good_us"),
+        F.sum(F.col("value") * held_s).alias("area"),
+        F.sum(F.col("value") * F.col("value") * held_s).alias("area2"),
+        F.min("low").alias("low"),
+        F.min(F.when(F.col("value") == F.col("low"), F.col("us"))).alias("low_us"),
+        F.max("high").alias("high"),
+        F.min(F.when(F.col("value") == F.col("high"), F.col("us"))).alias("high_us"),
     )
 
     # The value leaving a block holds until the tag's next sample or the end.
     by_time = Window.partitionBy("tag").orderBy("last_us")
     spans = (
-        bound.unionByName(blocks, allowMissingColumns=True)
+        bound.unionByName(blocks.drop("block"), allowMissingColumns=True)
         .withColumn("until", F.lead("first_us", 1, grid.end_us).over(by_time))
         .withColumn("opens_tag", F.lag("last_us").over(by_time).isNull())
         .withColumn(
@@ -135,6 +145,9 @@ def analog_summary(
     def kept(name: str) -> Column:
         return F.when(own, F.col(name))
 
+    def extreme(value: str, us: Column) -> Column:
+        return F.struct(F.col(value).alias("v"), us.alias("us"))
+
     pieces = spans.select(
         "tag",
         F.col("each").alias("cycle"),
@@ -147,12 +160,12 @@ def analog_summary(
             tail.isNull(), kept("area2")
         ).otherwise(F.coalesce(kept("area2"), F.lit(0.0)) + tail * tail * seconds).alias("area2"),
         F.least(
-            kept("lowest"),
-            F.when(held, F.struct(F.col("last_value").alias("v"), from_us.alias("us"))),
+            F.when(own & F.col("low").isNotNull(), extreme("low", F.col("low_us"))),
+            F.when(held, extreme("last_value", from_us)),
         ).alias("lowest"),
         F.greatest(
-            kept("highest"),
-            F.when(held, F.struct(F.col("last_value").alias("v"), (-from_us).alias("us"))),
+            F.when(own & F.col("high").isNotNull(), extreme("high", -F.col("high_us"))),
+            F.when(held, extreme("last_value", -from_us)),
         ).alias("highest"),
     )
     totals = pieces.groupBy("tag", "cycle").agg(

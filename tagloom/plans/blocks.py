@@ -88,7 +88,7 @@ def runs(
     before and where the last one ends.
     """
     keys, state = list(keys), list(state)
-    part = [*keys, "_blk"]
+    part = ["_blk", *keys]
     w = Window.partitionBy(*part).orderBy("us")
 
     head = F.row_number().over(w) == 1
@@ -172,7 +172,7 @@ def in_order(
     """
     keys = list(keys)
     marks = marks or {}
-    part = [*keys, "_blk"]
+    part = ["_blk", *keys]
     w = Window.partitionBy(*part).orderBy("us", *tie_break)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
 
