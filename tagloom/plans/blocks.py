@@ -89,7 +89,10 @@ def runs(
     """
     keys, state = list(keys), list(state)
     part = ["_blk", *keys]
-    w = Window.partitionBy(*part).orderBy("us")
+    # Several rows at one instant are ordered by their other columns, so that
+    # every evaluation of the plan sees the same order.
+    ties = [c for c in df.columns if c not in (*keys, "us", "_blk")]
+    w = Window.partitionBy(*part).orderBy("us", *ties)
 
     head = F.row_number().over(w) == 1
     changed = ~_same((F.lag(c).over(w), F.col(c)) for c in state)
@@ -97,10 +100,10 @@ def runs(
     breaks = F.col("_head") | F.col("_changed")
 
     if aggs is None:
-        kept = df.columns
+        kept, order = df.columns, ["us", *ties]
         local = marked.filter(breaks)
     else:
-        kept = [*keys, *state, "us", *aggs]
+        kept, order = [*keys, *state, "us", *aggs], ["us", "_run"]
         upto = w.rowsBetween(Window.unboundedPreceding, 0)
         local = (
             marked.withColumn("_run", F.sum(breaks.cast("int")).over(upto))
@@ -111,14 +114,20 @@ def runs(
             )
             .withColumn("_head", F.col("_run") == 1)
         )
-    local = local.select(*kept, "_head", F.lead("us").over(w).alias("_next"))
+    following = Window.partitionBy(*part).orderBy(*order)
+    local = local.select(
+        *kept,
+        *[c for c in order if c not in kept],
+        "_head",
+        F.lead("us").over(following).alias("_next"),
+    )
     inside = ~F.col("_head") & F.col("_next").isNotNull()
 
     inner = local.filter(inside).select(
         *kept, F.col("_next").alias("end_us"), F.lit(False).alias("first_run")
     )
-    asc = Window.partitionBy(*keys).orderBy("us")
-    desc = Window.partitionBy(*keys).orderBy(F.desc("us"))
+    asc = Window.partitionBy(*keys).orderBy(*order)
+    desc = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
     later = desc.rowsBetween(Window.unboundedPreceding, -1)
     outer = (
         local.filter(~inside)
@@ -173,7 +182,7 @@ def in_order(
     keys = list(keys)
     marks = marks or {}
     part = ["_blk", *keys]
-    w = Window.partitionBy(*part).orderBy("us", *tie_break)
+    w = Window.partitionBy(*part).orderBy("us", *tie_break, *fill)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
 
     rows = blocked(df, keys, block_ms).select(*part, "us", *fill)

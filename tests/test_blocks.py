@@ -110,6 +110,15 @@ def test_in_order(spark, width, keys):
     )
 
 
+@pytest.mark.parametrize("width", [1, 10_000])
+def test_rows_at_one_instant_are_neither_lost_nor_doubled(frame, width):
+    rows = [("a", us, float(i % 2), i) for us in range(0, 20_000, 1000) for i in range(4)]
+    got = runs(frame(rows), ["state"], block_ms=width).collect()
+    # Ordered 0, 0, 1, 1 at each instant: two changes each time.
+    assert sorted((r.us, r.state) for r in got) == sorted((us, s) for us in range(0, 20_000, 1000) for s in (0.0, 1.0))
+    assert sum(r.end_us is None for r in got) == 1
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
