@@ -18,10 +18,11 @@ def block_audit(blocks: DataFrame, locations: DataFrame) -> DataFrame:
     """History blocks with a missing status file, a block overlapping such a
     one, or a number beyond those expected for the day.
 
-    Block names end in ``_nnn``. One row per problem.
+    Block names end in ``_nnn``; of others only the status file is checked. One
+    row per problem.
     """
     expected = (
-        F.when(F.col("time_unit_id") == HOURLY, F.floor(F.lit(24) / F.col("block_duration")))
+        F.when(F.col("time_unit_id") == HOURLY, F.floor(F.try_divide(F.lit(24), F.col("block_duration"))))
         .when(F.col("time_unit_id") == DAILY, F.lit(1))
     )
     checked = (
@@ -31,12 +32,14 @@ def block_audit(blocks: DataFrame, locations: DataFrame) -> DataFrame:
         )
         .select("path", expected.cast("int").alias("max_count"))
     )
-    parts = F.split("block_name", "_")
+    def part(n: int):
+        return F.split_part("block_name", F.lit("_"), F.lit(n))
+
     named = blocks.join(checked, "path").select(
         "path",
         "block_name",
-        parts[0].alias("prefix"),
-        parts[1].cast("int").alias("number"),
+        part(1).alias("prefix"),
+        part(2).try_cast("int").alias("number"),
         "has_status",
         "max_count",
     )

@@ -29,9 +29,13 @@ class Cycles:
             raise ValueError("give resolution_ms or cycles, not both")
         if resolution_ms is not None:
             width = resolution_ms * MS
-            return cls(lo, hi, width, -(-(hi - lo) // width))
-        cycles = cycles or 1
-        return cls(lo, hi, (hi - lo) // cycles, cycles)
+            count = -(-(hi - lo) // width) if width > 0 else 0
+        else:
+            count = 1 if cycles is None else cycles
+            width = (hi - lo) // count if count > 0 else 0
+        if width < 1:
+            raise ValueError("cycles must be at least a microsecond long")
+        return cls(lo, hi, width, count)
 
     def index(self, us: Column) -> Column:
         """Cycle of an instant in [start, end)."""

@@ -31,3 +31,16 @@ def read_version(
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
+
+
+def prune_versions(spark: SparkSession, path: str, keep: int = 10) -> list[int]:
+    """Delete all but the newest ``keep`` complete versions; returns those deleted.
+
+    Keep at least two under a streaming job: a repeated batch reads the version
+    before its own.
+    """
+    doomed = versions(spark, path)[:-keep]
+    for version in doomed:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={version}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return doomed

@@ -12,12 +12,14 @@ def test_block_audit(table):
             ("/h", "A240101_001", True), ("/h", "A240101_004", True), ("/h", "A240101_005", True),
             ("/d", "A240101_001", False), ("/d", "A240101_002", True), ("/d", "A240102_009", False),
             ("/d", "A240102_010", True), ("rr:/x", "A240101_002", False), ("/t", "A240101_002", False),
+            ("/d", "stray", True), ("/d", "a_b", False),
         ],
         schemas.BLOCK_LISTING,
     )
     got = {tuple(r) for r in audit.block_audit(blocks, locations).collect()}
     assert got == {
         ("/h", "A240101_005", "exceeds expected count"),
+        ("/d", "a_b", "missing status"),
         ("/d", "A240101_001", "missing status"),
         ("/d", "A240101_002", "possible overlap"),
         ("/d", "A240101_002", "exceeds expected count"),

@@ -73,6 +73,15 @@ def test_unfinished_versions_do_not_count(spark, table, tmp_path):
     assert state.read_version(spark, path, "x int", before=2).first().x == 1
 
 
+def test_old_versions_can_be_pruned(spark, table, tmp_path):
+    path = str(tmp_path / "p")
+    for n in range(4):
+        state.write_version(table([(n,)], "x int"), path, n)
+    assert state.prune_versions(spark, path, keep=2) == [0, 1]
+    assert state.versions(spark, path) == [2, 3]
+    assert state.prune_versions(spark, path, keep=2) == []
+
+
 def test_shared_dir_is_never_local_on_a_cluster(spark, monkeypatch):
     from tagloom import session
 

@@ -147,3 +147,15 @@ def test_daily_load(hist):
     df = hist([("a", 0, 1), ("a", 43_200, 3), ("b", 0, 1)])
     got = summary.daily_load(df, ["a"], at(86400 + 5), days=1).collect()
     assert [(r.tag, r.average, r.maximum) for r in got] == [("a", 2, 3)]
+
+
+def test_cycles_must_have_length():
+    from tagloom.plans.cycles import Cycles
+
+    for kw in ({"resolution_ms": 0}, {"cycles": 0}, {"resolution_ms": 5, "cycles": 2}):
+        with pytest.raises(ValueError):
+            Cycles.of(at(0), at(1), **kw)
+    with pytest.raises(ValueError):
+        Cycles.of(at(1), at(1))
+    grid = Cycles.of(at(0), at(10), cycles=3)
+    assert (grid.width_us, grid.count) == (3_333_333, 3)
