@@ -162,6 +162,53 @@ def runs(
     return inner.drop("first_run").unionByName(merged)
 
 
+# Blocks ordered in one task when there is no key to tell tasks apart.
+BLOCKS_PER_STRETCH = 4096
+
+
+def _handed_on(per_block: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """What each block takes over: the last ``_last_i`` of earlier blocks as
+    ``_carry_i``, and the first time in a later one as ``_next_first``.
+
+    Without keys, blocks are ordered in stretches, and the stretches, one row
+    for thousands of blocks, among themselves.
+    """
+
+    def look(df: DataFrame, by: Sequence[str], order: str, names: Sequence[str]) -> DataFrame:
+        asc = Window.partitionBy(*by).orderBy(order)
+        before = asc.rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(
+            *by,
+            order,
+            F.lead("_first_us").over(asc).alias(names[0]),
+            *[
+                F.last(f"_last_{i}", ignorenulls=True).over(before).alias(names[i + 1])
+                for i in range(n)
+            ],
+        )
+
+    taken = ["_next_first", *[f"_carry_{i}" for i in range(n)]]
+    if keys:
+        return look(per_block, keys, "_blk", taken)
+    near = [f"_near{c}" for c in taken]
+    far = [f"_far{c}" for c in taken]
+    staged = per_block.withColumn("_stretch", floor_div(F.col("_blk"), BLOCKS_PER_STRETCH))
+    per_stretch = staged.groupBy("_stretch").agg(
+        F.min("_first_us").alias("_first_us"),
+        *[
+            F.max_by(f"_last_{i}", F.when(F.col(f"_last_{i}").isNotNull(), F.col("_blk"))).alias(
+                f"_last_{i}"
+            )
+            for i in range(n)
+        ],
+    )
+    return (
+        look(staged, ["_stretch"], "_blk", near)
+        .join(look(per_stretch, [], "_stretch", far), "_stretch")
+        .select("_blk", *[F.coalesce(a, b).alias(c) for a, b, c in zip(near, far, taken)])
+    )
+
+
 def in_order(
     df: DataFrame,
     fill: Sequence[str],
@@ -196,16 +243,7 @@ def in_order(
             for i, c in enumerate(fill)
         ],
     )
-    asc = Window.partitionBy(*keys).orderBy("_blk")
-    before = asc.rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_block.select(
-        *part,
-        F.lead("_first_us").over(asc).alias("_next_first"),
-        *[
-            F.last(f"_last_{i}", ignorenulls=True).over(before).alias(f"_carry_{i}")
-            for i in range(len(fill))
-        ],
-    )
+    carried = _handed_on(per_block, keys, len(fill))
     local = rows.select(
         *part,
         "us",

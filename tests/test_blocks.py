@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom.plans import blocks
 from tagloom.plans.blocks import in_order, runs, suggest_block_ms
 
 WIDTHS = [1, 7, 50, 10_000]
@@ -87,7 +88,8 @@ def test_one_state_across_many_blocks_is_one_run(frame, width):
 
 @pytest.mark.parametrize("width", WIDTHS)
 @pytest.mark.parametrize("keys", [("tag",), ()])
-def test_in_order(spark, width, keys):
+def test_in_order(spark, monkeypatch, width, keys):
+    monkeypatch.setattr(blocks, "BLOCKS_PER_STRETCH", 5)
     rng = random.Random(9)
     rows = [
         (rng.choice("aab"), us, rng.choice([None, None, float(us)]), rng.choice([None, us]))
