@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.time import (
+    MINUTE,
     as_datetime,
     boundary_diff,
     div,
     floor_div,
-    MINUTE,
     micros,
     midnight,
     shift,

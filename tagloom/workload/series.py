@@ -322,9 +322,8 @@ def _(t):
 )
 def _(t):
     """Analog rows of every tag; state rows of every tag's on/off signal."""
-    analog = t.history.withColumn("tag", F.col("tag"))
     onoff = t.discrete.withColumn("tag", F.concat(F.lit("~"), "tag"))
-    both = analog.unionByName(onoff)
+    both = t.history.unionByName(onoff)
     report = summary.resource_report(both, TAGS, [f"~{x}" for x in TAGS], 0, START, END)
     return rounded(report.withColumn("tag", F.ltrim(F.col("tag"), F.lit("~"))))
 

@@ -5,7 +5,6 @@ import time
 
 import pytest
 from conftest import at, sec
-from pyspark.sql import functions as F
 
 from tagloom import schemas
 from tagloom.operators import intervals, replication, retrieval, usage
