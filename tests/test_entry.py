@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from tagloom import workload
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not present")
-BUILT, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+BUILT, ORACLES = dict(workload.QUERIES), dict(workload.SQL)
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +37,8 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(BUILT)
+    assert BUILT.items() <= entry_module.queries().items()
+    assert ORACLES.items() <= entry_module.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", list(BUILT))
