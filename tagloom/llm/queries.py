@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tagloom.llm.exact_dedup import op8_exact_dedup
+from tagloom.llm.simhash import op7_simhash
 
 QUERIES = {
+    "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
