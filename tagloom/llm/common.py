@@ -35,11 +35,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*(c for c in df.columns if c.lower() in lower))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

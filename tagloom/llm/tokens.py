@@ -12,12 +12,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-#: Pieces whose ids a worker remembers, and the longest of them in bytes.
-REMEMBERED, SHORT = 300_000, 48
+from tagloom.llm.common import whole_text
+
 #: Text bytes handled at a time; a longer text is handled alone.
-SLICE = 8 << 20
+SLICE = 24 << 20
+#: Bytes of distinct pieces given to the library at a time, and pieces gathered at a time.
+JOINED, GATHERED = 1 << 18, 1 << 18
 
 _SPACE, _BREAK = 0x20, 0x0A
 
@@ -38,34 +42,73 @@ def cuts(data: np.ndarray) -> np.ndarray:
     at = np.flatnonzero((data == _SPACE) | (data == _BREAK))
     at = at[(at >= 2) & (at < len(data) - 1)]
     before, lead, after = data[at - 1], data[at - 2], data[at + 1]
-    printing = lambda x: (x > 0x20) & (x < 0x7F)
-    return at[(printing(before) | (before >= 0x80) & (lead == 0xC3)) & (printing(after) | (after == 0xC3))]
+    return at[(_printing(before) | (before >= 0x80) & (lead == 0xC3)) & (_printing(after) | (after == 0xC3))]
+
+
+def _printing(x: np.ndarray) -> np.ndarray:
+    return (x > 0x20) & (x < 0x7F)
 
 
 class Encoder:
-    """Encodes texts with one tokenizer; remembers the ids of short pieces."""
+    """Encodes texts with one tokenizer."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         kind = self.library.pre_tokenizer
         # Only for this kind of pre-tokenizer are texts known to fall apart at the cuts.
         self.divisible = type(kind).__name__ == "ByteLevel" and kind.use_regex and not kind.add_prefix_space and self.library.normalizer is None
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        known = self.known
-        out = [known.get(p) for p in pieces]
-        new = [i for i, x in enumerate(out) if x is None]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            done = self.library.encode_batch_fast([pieces[i].decode("utf-8") for i in part], add_special_tokens=False)
-            for i, e in zip(part, done, strict=True):
-                out[i] = np.array(e.ids, np.uint32)
-                if len(pieces[i]) <= SHORT and len(known) < REMEMBERED:
-                    known[pieces[i]] = out[i]
-        return out
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        added = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        self.size = max(vocabulary.values(), default=0) + 1
+        self.bytes = np.zeros(self.size, np.int64)  # a byte-level token has one character for each byte
+        for token, number in vocabulary.items():
+            self.bytes[number] = len(token.encode()) if token in added else len(token)
+
+    def _alone(self, texts: list[str]) -> list[np.ndarray]:
+        done = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in done]
+
+    def _distinct(self, pieces: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces one after the other, and their numbers.
+
+        Pieces that begin and end as at a cut are encoded joined into long strings, and told apart by their bytes.
+        """
+        n = len(pieces)
+        offsets = np.frombuffer(pieces.buffers()[1], np.int64, n + 1, pieces.offset * 8)
+        data = np.frombuffer(pieces.buffers()[2], np.uint8)
+        size = np.diff(offsets)
+        joined = np.zeros(n, bool)
+        if self.divisible:
+            some = np.flatnonzero(size >= 2)
+            s, e = offsets[some], offsets[some + 1]
+            joined[some] = (
+                ((data[s] == _SPACE) | (data[s] == _BREAK))
+                & (_printing(data[s + 1]) | (data[s + 1] == 0xC3))
+                & (_printing(data[e - 1]) | (data[e - 1] >= 0x80) & (data[e - 2] == 0xC3))
+            )
+        count = np.zeros(n, np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []  # pieces, their ids
+        for some in np.array_split(np.flatnonzero(joined), max(1, int(size[joined].sum()) // JOINED)):
+            if not len(some):
+                continue
+            text = b"".join([data[offsets[i] : offsets[i + 1]].tobytes() for i in some]).decode("utf-8")
+            ids = self._alone([text])[0]
+            stop = np.cumsum(self.bytes[ids])
+            count[some] = np.diff(np.searchsorted(stop, np.cumsum(size[some]), "right"), prepend=0)
+            assert stop[-1] == size[some].sum()
+            parts.append((some, ids))
+        rest = np.flatnonzero(~joined)
+        for at in range(0, len(rest), 1000):
+            some = rest[at : at + 1000]
+            found = self._alone([data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8") for i in some])
+            count[some] = [len(x) for x in found]
+            parts.append((some, np.concatenate(found)))
+        start = np.cumsum(count) - count
+        flat = np.empty(count.sum(), np.uint32)
+        for some, ids in parts:
+            each = count[some]
+            flat[np.repeat(start[some] - (np.cumsum(each) - each), each) + np.arange(len(ids))] = ids
+        return flat, count
 
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's begin (with the end as last)."""
@@ -76,18 +119,23 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
         data = np.frombuffer(texts.buffers()[2], np.uint8, last - first, first)
         begin = offsets - first
-        places = np.unique(np.concatenate([cuts(data), begin])) if self.divisible else np.unique(begin)
-        array = pa.Array.from_buffers(
-            pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(data)]
-        ).dictionary_encode()
+        border = np.zeros(len(data) + 1, bool)
+        border[begin] = True
+        if self.divisible:
+            border[cuts(data)] = True
+        places = np.flatnonzero(border)
+        del border
+        array = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data)])
+        array = array.dictionary_encode()
         of = array.indices.to_numpy()
-        pieces = self._pieces(array.dictionary.to_pylist())
-        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.concatenate(pieces)
+        flat, length = self._distinct(array.dictionary)
         start = np.cumsum(length) - length
-        each = length[of]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(start[of] - ends[:-1], each) + np.arange(ends[-1])]
+        ends = np.concatenate([[0], np.cumsum(length[of])])
+        ids = np.empty(ends[-1], np.uint32)
+        for at in range(0, len(of), GATHERED):
+            some = of[at : at + GATHERED]
+            lo, hi = ends[at], ends[at + len(some)]
+            ids[lo:hi] = flat[np.repeat(start[some] - (ends[at : at + len(some)] - lo), length[some]) + np.arange(hi - lo)]
         return ids, ends[np.searchsorted(places, begin)]
 
 
@@ -112,5 +160,45 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Table]:
         at = stop
 
 
-def narrow(ids: np.ndarray, small: bool) -> np.ndarray:
-    return ids.astype("<u2" if small else "<u4")
+def _encoded(path: str, end: int, small: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = np.dtype("<u2" if small else "<u4")
+        for batch in batches:
+            for part in slices(batch):
+                texts = part["text"].combine_chunks()
+                texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+                ids, begin = encoder(path).encode(texts)
+                length = np.diff(begin)
+                out = np.empty(len(ids) + len(length), kind)
+                last = np.cumsum(length + 1) - 1
+                ends = np.zeros(len(out), bool)
+                ends[last] = True
+                out[ends], out[~ends] = end, ids
+                offsets = (np.concatenate([[0], last + 1]) * kind.itemsize).astype(np.int32)
+                data = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"].combine_chunks(), pa.array(length + 1), data], ["doc_id", "n_tokens", "ids"]
+                )
+
+    return run
+
+
+def width(path: str, end: int) -> int:
+    """Bytes that an id of this tokenizer takes when stored."""
+    return 2 if max(encoder(path).size - 1, end) < 1 << 16 else 4
+
+
+def tokenized(docs: DataFrame, end: int, path: str) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian, ``width`` bytes each) of every row; ``end`` closes each text."""
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    schema = "doc_id long, n_tokens long, ids binary"
+    return given.mapInArrow(_encoded(path, end, width(path, end) == 2), schema)
+
+
+def as_ids(column: pa.Array, size: int) -> np.ndarray:
+    """All ids of a binary column without nulls, one row after the other."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+    count = (int(offsets[-1]) - int(offsets[0])) // size
+    if not count:
+        return np.zeros(0, f"<u{size}")
+    return np.frombuffer(column.buffers()[2], f"<u{size}", count, int(offsets[0]))
