@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from tagloom.llm.common import whole_text
 
 #: Text bytes handled at a time; a longer text is handled alone.
-SLICE = 24 << 20
+SLICE = 16 << 20
 #: Bytes of distinct pieces given to the library at a time, and pieces gathered at a time.
 JOINED, GATHERED = 1 << 18, 1 << 18
 
