@@ -6,10 +6,12 @@ from tagloom.llm.ctph import op1_fingerprints
 from tagloom.llm.exact_dedup import op8_exact_dedup
 from tagloom.llm.mixing import op6_mixing
 from tagloom.llm.packing import op4_packing
+from tagloom.llm.quality import op2_quality
 from tagloom.llm.simhash import op7_simhash
 from tagloom.llm.token_files import op3_token_files
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op1_fingerprints": op1_fingerprints,
     "op6_mixing": op6_mixing,
     "op4_packing": op4_packing,
