@@ -9,8 +9,10 @@ from tagloom.llm.packing import op4_packing
 from tagloom.llm.quality import op2_quality
 from tagloom.llm.simhash import op7_simhash
 from tagloom.llm.token_files import op3_token_files
+from tagloom.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op2_quality": op2_quality,
     "op1_fingerprints": op1_fingerprints,
     "op6_mixing": op6_mixing,
