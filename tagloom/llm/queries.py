@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tagloom.llm.ctph import op1_fingerprints
 from tagloom.llm.exact_dedup import op8_exact_dedup
+from tagloom.llm.language import op9_language
 from tagloom.llm.mixing import op6_mixing
 from tagloom.llm.packing import op4_packing
 from tagloom.llm.quality import op2_quality
@@ -12,6 +13,7 @@ from tagloom.llm.token_files import op3_token_files
 from tagloom.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op9_language": op9_language,
     "op5_toxicity": op5_toxicity,
     "op2_quality": op2_quality,
     "op1_fingerprints": op1_fingerprints,
