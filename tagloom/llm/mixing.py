@@ -178,7 +178,8 @@ def mixture(rows: DataFrame, plan: list[tuple], block: int = BLOCK, seed: int =
     starts = counts.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     starts = starts.groupBy("stretch").agg(F.collect_list(F.struct("at", "base")).alias("bases"))  # at most a row per source
     ranked = starts.mapInArrow(_schedule(limits, slots, True), "slot long, at long, block long")
-    return ranked.join(parts, ["at", "block"]).select("slot", "at", "key", "pass", "first_word", "words")
+    # Both sides grow with the corpus, but the schedule's size is not known before it runs: never broadcast it.
+    return ranked.hint("merge").join(parts.hint("merge"), ["at", "block"]).select("slot", "at", "key", "pass", "first_word", "words")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = REPEATS, block: int = BLOCK, seed: int = SEED) -> DataFrame:
@@ -192,7 +193,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = REPE
     known = docs.sparkSession.createDataFrame(plan, "_s string, source_size long, target double")
     taken = mixture(rows, plan, block, seed).groupBy("key").agg(F.sum("words").alias("taken"))
     return (
-        rows.join(taken, "key", "left")
+        rows.join(taken.hint("merge"), "key", "left")
         .join(F.broadcast(known), F.col("source").eqNullSafe(F.col("_s")))
         .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
     )
@@ -219,7 +220,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = RE
     given = held.select(F.col("_key").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), whole_text().alias("text"))
     rows = stored(given.mapInArrow(_sized, "key long, doc_id long, source string, size long"), "sizes")
     times = mixture(rows, recipe(rows, weights, repeats), block, seed).groupBy("key", "pass").agg(F.sum("words").alias("_words"))
-    taken = held.join(times.withColumnRenamed("key", "_key"), "_key")
+    taken = held.join(times.withColumnRenamed("key", "_key").hint("merge"), "_key")
     return taken.withColumn("text", _first_words(whole_text(), F.col("_words"))).select(*docs.columns)
 
 
