@@ -7,12 +7,14 @@ from tagloom.llm.exact_dedup import op8_exact_dedup
 from tagloom.llm.language import op9_language
 from tagloom.llm.mixing import op6_mixing
 from tagloom.llm.packing import op4_packing
+from tagloom.llm.pii import op10_pii
 from tagloom.llm.quality import op2_quality
 from tagloom.llm.simhash import op7_simhash
 from tagloom.llm.token_files import op3_token_files
 from tagloom.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op10_pii": op10_pii,
     "op9_language": op9_language,
     "op5_toxicity": op5_toxicity,
     "op2_quality": op2_quality,
