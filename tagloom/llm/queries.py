@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import os
+from collections.abc import Callable
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
 from tagloom.llm.ctph import op1_fingerprints
 from tagloom.llm.exact_dedup import op8_exact_dedup
 from tagloom.llm.language import op9_language
@@ -13,17 +20,37 @@ from tagloom.llm.simhash import op7_simhash
 from tagloom.llm.token_files import op3_token_files
 from tagloom.llm.toxicity import op5_toxicity
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def with_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Lets Python workers find this package where the driver found it, also if it is not installed."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        known = spark.sparkContext.environment
+        paths = [p for p in known.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+        if ROOT not in paths:
+            known["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+        return query(spark, *rest)
+
+    return run
+
+
 QUERIES = {
-    "op10_pii": op10_pii,
-    "op9_language": op9_language,
-    "op5_toxicity": op5_toxicity,
-    "op2_quality": op2_quality,
-    "op1_fingerprints": op1_fingerprints,
-    "op6_mixing": op6_mixing,
-    "op4_packing": op4_packing,
-    "op3_token_files": op3_token_files,
-    "op7_simhash": op7_simhash,
-    "op8_exact_dedup": op8_exact_dedup,
+    name: with_package(query)
+    for name, query in {
+        "op1_fingerprints": op1_fingerprints,
+        "op2_quality": op2_quality,
+        "op3_token_files": op3_token_files,
+        "op4_packing": op4_packing,
+        "op5_toxicity": op5_toxicity,
+        "op6_mixing": op6_mixing,
+        "op7_simhash": op7_simhash,
+        "op8_exact_dedup": op8_exact_dedup,
+        "op9_language": op9_language,
+        "op10_pii": op10_pii,
+    }.items()
 }
 
 SQL = {
