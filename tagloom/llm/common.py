@@ -7,8 +7,9 @@ is replaced by it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,30 @@ from tagloom.session import scratch_dir
 HEAVY_SHARE = 500
 
 
+#: Rows that Spark hands to a Python worker at a time; it also keeps to its limit of bytes.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Python workers small: BATCH_ROWS rows at a time, unless the session asks for fewer."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def gathered(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Batches put together until they have about ``size`` bytes."""
+    held, held_size = [], 0
+    for batch in batches:
+        held.append(batch)
+        held_size += batch.nbytes
+        if held_size >= size:
+            yield pa.Table.from_batches(held)
+            held, held_size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

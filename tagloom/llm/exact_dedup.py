@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagloom.llm.common import lookup, stored, without, whole_text
+from tagloom.llm.common import gathered, lookup, stored, without, whole_text
 
 #: Distinct texts of a bucket before it is split.
 BUCKET_ROWS = 20_000
 #: Bits that the directory may use. The histogram it grows from has 2^DEPTH cells, whatever the input's size.
 DEPTH = 16
+#: Bytes of rows among which a task combines copies before the shuffle.
+GATHERED = 16 << 20
 
 OUTPUTS = ("keep_id", "group_size", "kept", "text_sha256")
 
@@ -98,15 +100,14 @@ def _equal_texts(part: pa.Table) -> pa.Table:
 
 def _combined(grown: Directory):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("_key").to_numpy(zero_copy_only=False).view(np.uint64)
+        for part in gathered(batches, GATHERED):
             rows = pa.table(
                 {
-                    "bucket": grown.owner(keys),
-                    "key": batch.column("_key"),
-                    "text": batch.column("text").cast(pa.large_string()),
-                    "keep_id": batch.column("doc_id"),
-                    "group_size": np.ones(batch.num_rows, np.int64),
+                    "bucket": grown.owner(part["_key"].to_numpy().view(np.uint64)),
+                    "key": part["_key"],
+                    "text": part["text"].cast(pa.large_string()),
+                    "keep_id": part["doc_id"],
+                    "group_size": np.ones(part.num_rows, np.int64),
                 }
             )
             out = _equal_texts(rows)

@@ -52,7 +52,7 @@ def word_counts(texts: pa.LargeStringArray) -> np.ndarray:
 def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows with their size instead of their text."""
     for batch in batches:
-        for part in tokens.slices(batch):
+        for part in tokens.slices(pa.Table.from_batches([batch])):
             texts = part["text"].combine_chunks()
             texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
             names = [c for c in part.column_names if c != "text"]

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.llm.common import bounded_batches
 from tagloom.llm.ctph import op1_fingerprints
 from tagloom.llm.exact_dedup import op8_exact_dedup
 from tagloom.llm.language import op9_language
@@ -24,10 +25,11 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def with_package(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Lets Python workers find this package where the driver found it, also if it is not installed."""
+    """Lets Python workers find this package where the driver found it, also if it is not installed, and bounds their batches."""
 
     @functools.wraps(query)
     def run(spark: SparkSession, *rest) -> DataFrame:
+        bounded_batches(spark)
         known = spark.sparkContext.environment
         paths = [p for p in known.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
         if ROOT not in paths:

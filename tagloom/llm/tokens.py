@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tagloom.llm.common import whole_text
+from tagloom.llm.common import gathered, whole_text
 
 #: Text bytes handled at a time; a longer text is handled alone.
-SLICE = 16 << 20
+SLICE = 12 << 20
 #: Bytes of distinct pieces given to the library at a time, and pieces gathered at a time.
 JOINED, GATHERED = 1 << 18, 1 << 18
 
@@ -145,9 +145,8 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Table]:
-    """The batch in parts of about SLICE text bytes, the text as large string."""
-    rows = pa.Table.from_batches([batch])
+def slices(rows: pa.Table, column: str = "text") -> Iterator[pa.Table]:
+    """The rows in parts of about SLICE text bytes, the text as large string."""
     at = rows.schema.get_field_index(column)
     rows = rows.set_column(at, column, rows[column].cast(pa.large_string()))
     texts = rows[column].combine_chunks()
@@ -163,8 +162,8 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Table]:
 def _encoded(path: str, end: int, small: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.dtype("<u2" if small else "<u4")
-        for batch in batches:
-            for part in slices(batch):
+        for rows in gathered(batches, SLICE):
+            for part in slices(rows):
                 texts = part["text"].combine_chunks()
                 texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
                 ids, begin = encoder(path).encode(texts)

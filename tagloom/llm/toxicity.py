@@ -26,7 +26,7 @@ from tagloom.llm.common import table, whole_text, without
 from tagloom.llm.quality import in_fold, labelled_sample
 
 #: Learned from at most so many labelled texts of each class.
-SAMPLE = 4000
+SAMPLE = 2000
 CELLS = 1 << 18
 #: A word takes part if so many texts of the sample have it.
 RARE = 5
