@@ -44,11 +44,9 @@ def block_audit(blocks: DataFrame, locations: DataFrame) -> DataFrame:
         "max_count",
     )
     missing = named.filter(~F.col("has_status"))
-    following = F.concat(
-        "prefix",
-        F.lit("_"),
-        F.lpad((F.col("number") + 1).cast("string"), BLOCK_DIGITS, "0"),
-    )
+    following_number = (F.col("number") + 1).cast("string")
+    width = F.greatest(F.length(following_number), F.lit(BLOCK_DIGITS))  # padding never cuts
+    following = F.concat("prefix", F.lit("_"), F.lpad(following_number, width, F.lit("0")))
     overlapped = missing.select("path", following.alias("block_name")).join(
         blocks.select("path", "block_name").distinct(), ["path", "block_name"], "left_semi"
     )
@@ -120,39 +118,6 @@ def chart_parts(
     )
 
 
-def chart_bundles(
-    charts: DataFrame,
-    keywords: DataFrame,
-    tags: DataFrame,
-    properties: DataFrame,
-    dashboards: DataFrame,
-    users: DataFrame,
-    max_items: int = 10_000,
-) -> DataFrame:
-    """One JSON document per chart, ordered by chart type and key.
-
-    A chart of more than about ``max_items`` parts is spread over several
-    documents, numbered ``part_no`` of ``parts``, as a document is one row.
-    """
-    items = chart_parts(charts, keywords, tags, properties, dashboards, users)
-    sizes = items.groupBy("chart_key").agg(F.ceil(F.count("*") / max_items).cast("int").alias("parts"))
-    numbered = items.join(sizes, "chart_key").withColumn(
-        "part_no", F.pmod(F.xxhash64("section", "item", "content"), F.col("parts")).cast("int")
-    )
-
-    def listed(name: str):
-        chosen = F.when(F.col("section") == name, F.struct("item", "content"))
-        return F.transform(F.sort_array(F.collect_list(chosen)), lambda s: s["content"])
-
-    key = ["chart_type", "chart_key", "part_no", "parts"]
-    return (
-        numbered.groupBy(*key)
-        .agg(*[listed(name).alias(name) for name in SECTIONS])
-        .select(*key, F.to_json(F.struct(*SECTIONS)).alias("document"))
-        .orderBy(*key)
-    )
-
-
 def tz_report(df: DataFrame, tz: str, standard_offset_min: int, ts: str = "ts") -> DataFrame:
     """Local and UTC time and offset of UTC instants in a zone.
 
@@ -187,7 +152,8 @@ def read_trends(spark: SparkSession, path: str) -> DataFrame:
 
 def rename_server(items: DataFrame, old: str, new: str) -> DataFrame:
     """Trend items with one server renamed; ``changed`` marks the items touched
-    and ``dirty`` all items of a file with any such. Case is ignored."""
+    and ``dirty`` all items of a file with any such. Case is ignored; items
+    without a file are dirty by themselves."""
     hit = F.coalesce(F.lower("server") == old.lower(), F.lit(False))
     dirty = items.filter(hit).select("file").distinct().withColumn("dirty", F.lit(True))
     return items.join(dirty, "file", "left").select(
@@ -195,5 +161,5 @@ def rename_server(items: DataFrame, old: str, new: str) -> DataFrame:
         F.when(hit, new).otherwise(F.col("server")).alias("server"),
         "tag",
         hit.alias("changed"),
-        F.coalesce("dirty", F.lit(False)).alias("dirty"),
+        F.coalesce("dirty", hit).alias("dirty"),
     )

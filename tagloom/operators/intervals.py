@@ -45,7 +45,8 @@ def slice_by(
             F.lit(None).cast("double").alias("v"),
             F.col("us").alias("slice_us"),
             # The open run only ends the slice before it.
-            F.coalesce("end_us", F.lit(-1)).alias("slice_end"),
+            F.coalesce("end_us", "us").alias("slice_end"),
+            F.col("end_us").isNull().alias("slice_open"),
             F.coalesce("value", not_a_number).alias("slice_v"),
         )
     )
@@ -55,16 +56,17 @@ def slice_by(
         F.coalesce("value", not_a_number).alias("v"),
         F.lit(None).cast("long").alias("slice_us"),
         F.lit(None).cast("long").alias("slice_end"),
+        F.lit(None).cast("boolean").alias("slice_open"),
         F.lit(None).cast("double").alias("slice_v"),
     )
     stretches = in_order(
         starts.unionByName(samples),
-        ["v", "slice_us", "slice_end", "slice_v"],
+        ["v", "slice_us", "slice_end", "slice_open", "slice_v"],
         # At one instant the slice begins before the sample.
         tie_break=[F.col("slice_us").isNull()],
         marks={"sampled": F.col("v").isNotNull()},
         block_ms=block_ms,
-    ).filter("slice_end >= 0 AND next_us > us")
+    ).filter("NOT slice_open AND next_us > us")
 
     value = F.when(~F.isnan("v"), F.col("v"))
     sums = stretches.groupBy("tag", "slice_us", "slice_end", "slice_v").agg(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.time import ts_lit
 from tagloom.operators.retrieval import delta
 from tagloom.schemas import BOOKMARK
-from tagloom.sources.history import for_tags, in_time_zone
+from tagloom.sources.history import for_tags, in_time_zone, live, scan_history
 from tagloom.sources.state import read_version, versions, write_version
 
 # Parts of the file format (fixed values): encoding, delimiter, original value,
@@ -114,9 +114,11 @@ def export_next(
 ) -> tuple[ExportWindow, dict[str, int]] | None:
     """Export the changes of the next slice, then move the bookmark on.
 
-    The slice goes to its own numbered folder and the bookmark moves last, so a
-    failed export is simply run again. Times are in ``time_zone`` on input and
-    in UTC in the file.
+    The first sample of the series counts as a change; in later slices a tag's
+    last sample before the slice decides whether its first one is, so the
+    slices together hold the same lines whatever their width. The slice goes to
+    its own numbered folder and the bookmark moves last, so a failed export is
+    simply run again. Times are in ``time_zone`` on input and in UTC in the file.
     """
     spark = df.sparkSession
     bookmark = read_version(spark, bookmark_path, BOOKMARK).first()
@@ -124,7 +126,13 @@ def export_next(
     if window is None:
         return None
     utc = df if time_zone == "UTC" else in_time_zone(df, "UTC", source=time_zone)
-    changes = delta(for_tags(utc, tags), window.start, window.end, bounds="(]")
+    listed = for_tags(utc, tags)
+    rows = scan_history(listed, None, window.start, window.end, "(]")
+    if window.start > bookmark["start_ts"]:
+        before = live(scan_history(listed, None, bookmark["start_ts"], window.start, "(]"))
+        columns = ["tag", "ts", "value", "quality"]
+        rows = before.select(*columns).unionByName(rows.select(*columns))
+    changes = delta(rows).filter(F.col("ts") > ts_lit(window.start))
     counts = write_fastload(changes, f"{out_path}/export-{window.number:06d}", origin)
     moved = spark.createDataFrame(
         [

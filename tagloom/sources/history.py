@@ -132,13 +132,12 @@ def in_time_zone(df: DataFrame, tz: str, source: str = "UTC", ts: str = "ts") ->
 def latest_version(
     df: DataFrame, version: str = "version", keys: Iterable[str] = ("tag", "ts")
 ) -> DataFrame:
-    """One row per (tag, ts): the one with the highest version."""
+    """One row per (tag, ts): the one with the highest version, and of several
+    with that version the one whose other columns are the largest in order."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c != version]
-    return df.groupBy(*keys).agg(
-        F.max(version).alias(version),
-        *[F.max_by(c, version).alias(c) for c in rest],
-    )
+    newest = F.max(F.struct(version, *rest)).alias("_newest")
+    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
 def append_samples(df: DataFrame, path: str) -> None:

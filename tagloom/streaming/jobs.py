@@ -58,8 +58,9 @@ def _same(df: DataFrame) -> DataFrame:
 def latest_sessions(sessions: DataFrame) -> DataFrame:
     """The last snapshot of each session in a batch."""
     key = ["user_name", "node", "conn_id", "application"]
-    rest = [c for c in sessions.columns if c not in key]
-    return sessions.groupBy(*key).agg(*[F.max_by(c, "last_ts").alias(c) for c in rest])
+    rest = ["last_ts", *(c for c in sessions.columns if c not in key and c != "last_ts")]
+    newest = F.max(F.struct(*rest)).alias("_newest")
+    return sessions.groupBy(*key).agg(newest).select(*key, "_newest.*")
 
 
 def refresh_usage(

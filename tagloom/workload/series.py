@@ -102,7 +102,7 @@ def _(t):
     folder = scratch_dir(t.spark, "export")
     export.set_bookmark(t.spark, f"{folder}/bookmark", *(midnight(x) for x in (START, END)))
     tags = t.history.select("tag").distinct()
-    while export.export_next(t.history, tags, f"{folder}/bookmark", f"{folder}/out", hours=720):
+    while export.export_next(t.history, tags, f"{folder}/bookmark", f"{folder}/out", hours=24):
         pass
     return t.spark.read.text(f"{folder}/out/export-*/data").withColumnRenamed("value", "line")
 

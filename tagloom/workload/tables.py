@@ -103,7 +103,7 @@ VIEWS = {
         FROM part""",
     "attributes": """
         SELECT concat('P', l_partkey) AS attribute_name, min(l_suppkey) AS object_key
-        FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey""",
+        FROM lineitem GROUP BY l_partkey""",
     "cheap_tag": "SELECT concat('P', p_partkey) AS tag FROM part WHERE p_type <> 'LARGE'",
     "objects": """
         SELECT s_suppkey AS object_key, concat('NATION_', s_suppkey) AS object_name,
@@ -168,9 +168,10 @@ VIEWS = {
     "queue": """
         SELECT l_orderkey * 10 + l_linenumber AS entity_key, concat('P', l_partkey) AS source_tag,
                CAST(l_suppkey % 5 AS INT) AS server_key, l_linenumber AS request_version,
-               o_orderdate AS mod_start_utc, l_shipdate AS mod_end_utc,
+               least(o_orderdate, l_shipdate) AS mod_start_utc,
+               greatest(o_orderdate, l_shipdate) AS mod_end_utc,
                PLUS_MIN(l_shipdate, l_linenumber) AS earliest_exec_utc, 0 AS execute_state
-        FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_shipdate >= o_orderdate""",
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey""",
     "annotation": """
         SELECT concat(CASE o_orderpriority
                  WHEN '1-URGENT' THEN 'at noon Beginning backfill for '
@@ -219,7 +220,7 @@ VIEWS = {
         SELECT o_orderkey AS chart_key, 'priority' AS property, o_orderpriority AS value FROM orders""",
     "dashboard": """
         SELECT l_orderkey AS chart_key, l_partkey AS member_key, l_linenumber AS position
-        FROM lineitem WHERE l_linestatus = 'F'""",
+        FROM lineitem""",
     "trend_item": """
         SELECT concat('trend', l_orderkey) AS file,
                CASE l_returnflag WHEN 'A' THEN 'SRV1' WHEN 'N' THEN NULL ELSE 'srv2' END AS server,

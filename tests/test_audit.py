@@ -41,30 +41,30 @@ def charts(table):
     )
 
 
-def test_chart_bundles(table):
-    rows = audit.chart_bundles(*charts(table)).collect()
-    assert [(r.chart_type, r.chart_key) for r in rows] == [(1, 2), (2, 1)]
-    board, flow = (json.loads(r.document) for r in rows)
-    assert json.loads(board["chart"][0]) == {"name": "Board", "url": "u2", "owner": None}
-    assert json.loads(board["dashboard"][0]) == {"url": "u1", "position": 3}
-    assert [json.loads(x)["keyword"] for x in flow["keyword"]] == ["main", "water"]
-    assert json.loads(flow["tag"][1]) == {
+def test_chart_parts(table):
+    parts = audit.chart_parts(*charts(table)).orderBy("chart_type", "chart_key", "section_no", "item").collect()
+    assert [(r.chart_type, r.chart_key) for r in parts] == sorted((r.chart_type, r.chart_key) for r in parts)
+    by = {}
+    for r in parts:
+        by.setdefault((r.chart_key, r.section), []).append(json.loads(r.content))
+    assert len(parts) == 8
+    assert by[2, "chart"] == [{"name": "Board", "url": "u2", "owner": None}]
+    assert by[2, "dashboard"] == [{"url": "u1", "position": 3}]
+    assert [x["keyword"] for x in by[1, "keyword"]] == ["main", "water"]
+    assert by[1, "tag"][1] == {
         "fqn": "s.b", "selected": "True", "color": "red", "active_group": "False", "layout_index": 2,
         "selected_order": None,
     }
 
 
-def test_large_charts_are_spread_over_documents(table):
-    rows = audit.chart_bundles(*charts(table), max_items=2).collect()
-    assert {(r.chart_key, r.parts) for r in rows} == {(1, 3), (2, 1)}
-    listed = [x for r in rows for part in json.loads(r.document).values() for x in part]
-    assert sorted(listed) == sorted(r.content for r in audit.chart_parts(*charts(table)).collect())
-
-
-def test_chart_parts_match_the_bundles(table):
-    parts = audit.chart_parts(*charts(table))
-    assert parts.count() == 8
-    assert [r.section for r in parts.filter("chart_key = 1").orderBy("section_no").collect()][:2] == ["chart", "keyword"]
+def test_block_numbers_beyond_three_digits(table):
+    blocks = table(
+        [("p", "a_999", False), ("p", "a_1000", True), ("p", "a_100", True), ("p", "a_007", False), ("p", "a_008", True)],
+        "path string, block_name string, has_status boolean",
+    )
+    places = table([("p", 1, 1, 1)], "path string, time_unit_id int, block_duration int, storage_type int")
+    got = audit.block_audit(blocks, places).filter("problem = 'possible overlap'").collect()
+    assert {r.block_name for r in got} == {"a_1000", "a_008"}
 
 
 def test_tz_report(table):
@@ -90,3 +90,9 @@ def test_rename_server(spark, table, tmp_path):
         ("two.xml", "keep", False, False),
         ("two.xml", None, False, False),
     }
+
+
+def test_renamed_items_without_a_file_are_dirty(table):
+    items = table([(None, "old", "t"), (None, "other", "u")], "file string, server string, tag string")
+    got = {r.tag: (r.server, r.changed, r.dirty) for r in audit.rename_server(items, "OLD", "new").collect()}
+    assert got == {"t": ("new", True, True), "u": ("other", False, False)}

@@ -44,6 +44,17 @@ def test_export_run_covers_everything_once(spark, hist, table, tmp_path):
     assert lines.count() == 59 and lines.distinct().count() == 59
 
 
+@pytest.mark.parametrize("hours", [24, 72])
+def test_lines_do_not_depend_on_the_slices(spark, hist, table, tmp_path, hours):
+    df = hist([("a", 3600 * h, 5) for h in range(-3, 72)] + [("b", 3600 * h, h // 30) for h in range(1, 72)])
+    paths = str(tmp_path / "bookmark"), str(tmp_path / "out")
+    export.set_bookmark(spark, paths[0], at(0), at(3600 * 72))
+    while export.export_next(df, table([("a",), ("b",)], "tag string"), *paths, hours=hours):
+        pass
+    lines = sorted(r.value.split("|")[0] + r.value.split("|")[5] for r in spark.read.text(f"{paths[1]}/export-*/data").collect())
+    assert lines == ["a5.0", "b0.0", "b1.0", "b2.0"]
+
+
 def test_export_converts_to_utc(spark, hist, table, tmp_path):
     export.set_bookmark(spark, str(tmp_path / "b"), at(0), at(86400))
     export.export_next(hist([("a", 3600, 1)]), table([("a",)], "tag string"), str(tmp_path / "b"), str(tmp_path / "o"), time_zone="America/New_York")

@@ -27,6 +27,14 @@ def test_slice_by(hist, width):
     }
 
 
+@pytest.mark.parametrize("width", WIDTHS)
+@pytest.mark.parametrize("shift", [0, -64 * 365 * 86400])
+def test_slices_before_1970(hist, width, shift):
+    df = hist([("p", shift + s, v) for s, v in ((1, 1), (5, 2), (9, 3))] + [("t", shift, 4)])
+    got = intervals.slice_by(df, "p", ["t"], at(shift), at(shift + 20), block_ms=width).collect()
+    assert [(sec(r.start_ts) - shift, sec(r.end_ts) - shift, r.average) for r in sorted(got)] == [(1, 5, 4), (5, 9, 4)]
+
+
 @pytest.mark.parametrize("width", WIDTHS)
 def test_slices_start_after_the_window_opens(hist, width):
     df = hist([("p", 0, 1), ("p", 5, 2), ("p", 9, 3), ("t", 0, 1)])
