@@ -87,7 +87,8 @@ def lookup(rows: DataFrame, found: DataFrame, keys: list[str], weight: str, tota
     light = found.where(F.col(weight) <= limit).select(*(F.col(k).alias(f"_j_{k}") for k in keys), *values)
     first, *others = keys
     kind = dict(rows.dtypes)[first]
-    apart = F.xxhash64(*(F.col(c) for c in rows.columns if c in ("doc_id", first))) % F.lit(1 << 62)
+    own = ["doc_id", first] if "doc_id" in rows.columns else rows.columns
+    apart = F.xxhash64(*own) % F.lit(1 << 62)
     out = rows.join(F.broadcast(heavy), keys, "left")
     # A heavy row must not meet a light one: its further join keys are null, or its only key becomes one that is not there.
     if others:

@@ -255,9 +255,9 @@ def _grouped(fps: DataFrame, wide: int, radius: int) -> DataFrame:
         rows = nodes.select("node", *names).mapInArrow(_sampled_keys(tables, wide), schema)
     roots = components(links(rows, wide, radius)).select(F.col("a").alias("node"), "root")
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    found = placed.join(least, "root").select(*names, "component_id", "rows")
-    total = nodes.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("members"))
+    count, total = nodes.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    found = lookup(placed.select(*names, "root", "rows"), least, ["root"], "members", count).drop("root")
     return lookup(fps, found, names, "rows", total)
 
 
