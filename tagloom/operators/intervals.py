@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.time import MS, div, instant, micros, to_us
@@ -134,30 +134,41 @@ def threshold_extrema(
     )
 
 
-RULES = "tag string, op string, limit double"
+# A limit rule: tag, one of ``>`` ``>=`` ``<`` ``<=``, limit.
+Rule = tuple[str, str, float]
 
 
-def limit_rules(spark: SparkSession, rules: Sequence[tuple[str, str, float]]) -> DataFrame:
-    """Rules (tag, ``>`` ``>=`` ``<`` ``<=``, limit) as a table."""
-    return spark.createDataFrame([(t, op, float(x)) for t, op, x in rules], RULES)
+def with_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Samples of the tags that have rules, once for each different rule.
+
+    The tags are filtered in the scan, and the rules are attached to each
+    sample from literals: no sample is shuffled or joined for it.
+    """
+    by_tag: dict[str, list] = {}
+    for tag, op, limit in dict.fromkeys((t, op, float(x)) for t, op, x in rules):
+        rule = F.struct(F.lit(op).alias("op"), F.lit(limit).alias("limit"))
+        by_tag.setdefault(tag, []).append(rule)
+    listed = scan_history(df, list(by_tag))
+    choice = F.lit(None)
+    for tag, its in by_tag.items():
+        choice = F.when(F.col("tag") == tag, F.array(*its)).otherwise(choice)
+    if not by_tag:
+        choice = choice.cast("array<struct<op:string,limit:double>>")
+    return listed.withColumn("_rule", F.explode(choice)).select("*", "_rule.op", "_rule.limit").drop("_rule")
 
 
 def capacity_rules(
-    spark: SparkSession,
     memory_tag: str,
     cpu_tag: str,
     total_cores: int,
     usable_cores: int,
     memory_mb: float = 1000.0,
-) -> DataFrame:
+) -> list[Rule]:
     """Rules at 95 % of a memory limit and of the usable share of all cores."""
-    return limit_rules(
-        spark,
-        [
-            (memory_tag, ">", 0.95 * memory_mb),
-            (cpu_tag, ">", 95.0 / total_cores * usable_cores),
-        ],
-    )
+    return [
+        (memory_tag, ">", 0.95 * memory_mb),
+        (cpu_tag, ">", 95.0 / total_cores * usable_cores),
+    ]
 
 
 def broken(value: Column, op: Column, limit: Column) -> Column:
@@ -172,13 +183,16 @@ def broken(value: Column, op: Column, limit: Column) -> Column:
 
 
 def incidents(
-    df: DataFrame, rules: DataFrame, start, end, block_ms: int = BLOCK_MS
+    df: DataFrame, rules: Sequence[Rule], start, end, block_ms: int = BLOCK_MS
 ) -> DataFrame:
     """Times in [start, end] at which a tag begins to break a rule, until the
-    first sample that keeps it (NULL while still broken at ``end``)."""
+    first sample that keeps it (NULL while still broken at ``end``).
+
+    Only the rules' tags are read; samples are shuffled once, by tag, rule and
+    block."""
+    tags = list(dict.fromkeys(t for t, _, _ in rules))
     rows = (
-        since(df, start, end)
-        .join(rules, "tag")
+        with_rules(since(scan_history(df, tags), start, end), rules)
         .select(
             "tag",
             "op",

@@ -3,19 +3,21 @@
 Each job hands its micro-batches to the batch operators with ``foreachBatch``.
 State lives in versioned folders: batch ``n`` reads the newest version below
 ``n`` and writes version ``n``, so a batch that is run again after a failure
-leaves the same state and output. Versions older than ``n`` are not touched.
+leaves the same state and output. The tracked sessions are kept by two jobs,
+which take turns: their folder holds commits, each made from the newest one, and
+a batch that has committed already does not do so again. Old states are pruned.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tagloom.functions.time import MS, div, instant, micros
-from tagloom.operators.intervals import broken
+from tagloom.operators.intervals import Rule, broken, with_rules
 from tagloom.operators.replication import missing_replication
 from tagloom.operators.usage import (
     closed_ids,
@@ -29,10 +31,19 @@ from tagloom.operators.usage import (
 from tagloom.plans.blocks import BLOCK_MS, runs
 from tagloom.schemas import HISTORY, USAGE_ACTIVE, USAGE_SUMMARY
 from tagloom.sources.export import write_fastload
-from tagloom.sources.state import read_version, write_version
+from tagloom.sources.state import (
+    committed,
+    prune_commits,
+    prune_versions,
+    read_commit,
+    read_version,
+    write_commit,
+    write_version,
+)
 
 Prepare = Callable[[DataFrame], DataFrame]
 SEED = -1
+SEED_BATCH = 0
 
 
 def seed_state(df: DataFrame, path: str) -> None:
@@ -55,8 +66,21 @@ def _same(df: DataFrame) -> DataFrame:
     return df
 
 
+def seed_tracked(df: DataFrame, path: str) -> None:
+    """Give the folder of tracked (or summarised) sessions its first commit."""
+    write_commit(df, path, "seed", SEED_BATCH)
+
+
 def latest_sessions(sessions: DataFrame) -> DataFrame:
-    """The last snapshot of each session in a batch."""
+    """The sessions of a batch's newest snapshot, each with its last row.
+
+    With a column ``snapshot_ts`` a batch may hold several snapshots, of which
+    the newest alone says which sessions are there; without it a batch is one
+    snapshot. A snapshot must not be cut over batches.
+    """
+    if "snapshot_ts" in sessions.columns:
+        newest = sessions.agg(F.max("snapshot_ts")).scalar()
+        sessions = sessions.filter(F.col("snapshot_ts") == newest).drop("snapshot_ts")
     key = ["user_name", "node", "conn_id", "application"]
     rest = ["last_ts", *(c for c in sessions.columns if c not in key and c != "last_ts")]
     newest = F.max(F.struct(*rest)).alias("_newest")
@@ -77,13 +101,14 @@ def refresh_usage(
     def step(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         current = latest_sessions(prepare(batch))
-        tracked = read_version(spark, active_path, USAGE_ACTIVE, before=n)
-        write_version(refresh_active(tracked, current), active_path, n)
-        refreshed = read_version(spark, active_path, USAGE_ACTIVE, before=n + 1)
+        tracked = read_commit(spark, active_path, USAGE_ACTIVE)
+        made = write_commit(refresh_active(tracked, current), active_path, "refresh", n)
+        refreshed = read_commit(spark, active_path, USAGE_ACTIVE, made)
         now = current.agg(F.max("last_ts")).first()[0]
         if now is not None:
             metrics = usage_metrics(refreshed, now, rate_s)
             metrics.write.mode("overwrite").parquet(f"{history_path}/batch={n}")
+        prune_commits(spark, active_path)
 
     return _each(sessions, checkpoint, step)
 
@@ -97,17 +122,27 @@ def roll_up_usage(
     prepare: Prepare = _same,
 ) -> DataStreamWriter:
     """Move tracked sessions that a snapshot no longer has into the long-term
-    summary. Run it with ``trigger(availableNow=True)`` once a day."""
+    summary. Run it with ``trigger(availableNow=True)`` once a day.
+
+    The closed sessions of a batch are written first, then the summary with
+    them, then the tracked sessions without them. A batch that is run again goes
+    on with the closed sessions it had found.
+    """
+    closed_path = f"{summary_path}/closed"
 
     def step(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        tracked = read_version(spark, active_path, USAGE_ACTIVE, before=n)
-        summary = read_version(spark, summary_path, USAGE_SUMMARY, before=n)
-        closed = closed_ids(reconcile(latest_sessions(prepare(batch)), tracked))
-        write_version(
-            merge_usage(summary, usage_rollup(tracked, closed), rate_min), summary_path, n
-        )
-        write_version(purge_closed(tracked, closed), active_path, n)
+        if committed(spark, active_path, "rollup", n):
+            return
+        tracked = read_commit(spark, active_path, USAGE_ACTIVE)
+        found = closed_ids(reconcile(latest_sessions(prepare(batch)), tracked))
+        closed = read_commit(spark, closed_path, "conn_id string", write_commit(found, closed_path, "rollup", n))
+        summary = read_commit(spark, summary_path, USAGE_SUMMARY)
+        merged = merge_usage(summary, usage_rollup(tracked, closed), rate_min)
+        write_commit(merged, summary_path, "rollup", n)
+        write_commit(purge_closed(tracked, closed), active_path, "rollup", n)
+        for path in (active_path, summary_path, closed_path):
+            prune_commits(spark, path)
 
     return _each(sessions, checkpoint, step)
 
@@ -184,6 +219,7 @@ def export_changes(
             F.max_by("quality", "ts").alias("quality"),
         )
         write_version(newest, state_path, n)
+        prune_versions(spark, state_path)
 
     return _each(samples, checkpoint, step)
 
@@ -193,7 +229,7 @@ INCIDENT_STATE = "tag string, op string, limit double, us bigint, value double,
 
 def follow_incidents(
     samples: DataFrame,
-    rules: DataFrame,
+    rules: Sequence[Rule],
     state_path: str,
     out_path: str,
     checkpoint: str,
@@ -212,8 +248,7 @@ def follow_incidents(
         spark = batch.sparkSession
         held = read_version(spark, state_path, INCIDENT_STATE, before=n)
         arrived = (
-            prepare(batch)
-            .join(rules, "tag")
+            with_rules(prepare(batch), rules)
             .select(
                 "tag",
                 "op",
@@ -240,5 +275,6 @@ def follow_incidents(
             n,
         )
         stretches.unpersist()
+        prune_versions(spark, state_path)
 
     return _each(samples, checkpoint, step)

@@ -430,7 +430,7 @@ RULES_SQL = ", ".join(f"('{a}', '{b}', {c})" for a, b, c in RULES)
 
 @query("incidents", _incidents_sql(RULES_SQL))
 def _(t):
-    return intervals.incidents(t.history, intervals.limit_rules(t.spark, RULES), START, END)
+    return intervals.incidents(t.history, RULES, START, END)
 
 
 @query(
@@ -440,7 +440,7 @@ def _(t):
     ),
 )
 def _(t):
-    rules = intervals.capacity_rules(t.spark, "view", "error", 16, 4, memory_mb=100)
+    rules = intervals.capacity_rules("view", "error", 16, 4, memory_mb=100)
     return intervals.incidents(t.history, rules, MIDDLE, END)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tagloom.operators import intervals
 from tagloom.session import scratch_dir
 from tagloom.streaming import jobs
 from tagloom.workload import series
@@ -23,7 +22,7 @@ def _run(writer) -> None:
 
 def _refresh(t) -> str:
     folder = scratch_dir(t.spark, "refresh")
-    jobs.seed_state(t.tracked, f"{folder}/active")
+    jobs.seed_tracked(t.tracked, f"{folder}/active")
     _run(
         jobs.refresh_usage(
             _stream(t, "events"),
@@ -39,7 +38,7 @@ def _refresh(t) -> str:
 
 @query("stream_usage_refresh", REFRESH)
 def _(t):
-    return jobs.read_version(t.spark, f"{_refresh(t)}/active", jobs.USAGE_ACTIVE)
+    return jobs.read_commit(t.spark, f"{_refresh(t)}/active", jobs.USAGE_ACTIVE)
 
 
 @query(
@@ -54,8 +53,8 @@ def _(t):
 @query("stream_usage_rollup", MERGE)
 def _(t):
     folder = scratch_dir(t.spark, "rollup")
-    jobs.seed_state(t.tracked, f"{folder}/active")
-    jobs.seed_state(t.usage_summary, f"{folder}/summary")
+    jobs.seed_tracked(t.tracked, f"{folder}/active")
+    jobs.seed_tracked(t.usage_summary, f"{folder}/summary")
     _run(
         jobs.roll_up_usage(
             _stream(t, "events"),
@@ -65,7 +64,7 @@ def _(t):
             prepare=lambda batch: over(batch, "sessions", "events"),
         )
     )
-    return jobs.read_version(t.spark, f"{folder}/summary", jobs.USAGE_SUMMARY)
+    return jobs.read_commit(t.spark, f"{folder}/summary", jobs.USAGE_SUMMARY)
 
 
 @query("stream_missing_replication", MISSING)
@@ -111,7 +110,7 @@ def _(t):
     _run(
         jobs.follow_incidents(
             _stream(t, "events"),
-            intervals.limit_rules(t.spark, series.RULES),
+            series.RULES,
             f"{folder}/state",
             f"{folder}/out",
             f"{folder}/checkpoint",

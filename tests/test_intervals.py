@@ -67,8 +67,8 @@ def test_incidents(spark, hist, width):
         [("cpu", -2, 99), ("cpu", 1, 98), ("cpu", 2, 10), ("cpu", 4, 97), ("cpu", 5, None, 0), ("cpu", 8, 96),
          ("mem", 3, 400), ("mem", 6, 600)]
     )
-    rules = intervals.limit_rules(spark, [("cpu", ">", 95), ("mem", "<", 500), ("cpu", ">", 95)])
-    got = intervals.incidents(df, rules.distinct(), at(0), at(10), block_ms=width).collect()
+    rules = [("cpu", ">", 95), ("mem", "<", 500), ("cpu", ">", 95)]
+    got = intervals.incidents(df, rules, at(0), at(10), block_ms=width).collect()
     assert [(sec(r.start_ts), sec(r.end_ts), r.tag, r.value, r.duration_ms) for r in got] == [
         (3, 6, "mem", 400, 3000),
         (4, 5, "cpu", 97, 1000),
@@ -76,8 +76,17 @@ def test_incidents(spark, hist, width):
     ]
 
 
+def test_rules_reach_the_scan_without_a_join(spark, tmp_path, hist):
+    hist([("cpu", 1, 96), ("other", 1, 1)]).write.parquet(str(tmp_path / "h"))
+    df = spark.read.parquet(str(tmp_path / "h"))
+    plan = intervals.incidents(df, [("cpu", ">", 95), ("mem", "<", 5)], at(0), at(10))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    filters = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert filters and all("In(tag, [cpu,mem])" in line for line in filters)
+
+
 def test_capacity_rules(spark):
-    got = {(r.tag, r.op, r.limit) for r in intervals.capacity_rules(spark, "m", "c", 8, 2).collect()}
+    got = set(intervals.capacity_rules("m", "c", 8, 2))
     assert got == {("m", ">", 950.0), ("c", ">", 95.0 / 8 * 2)}
 
 

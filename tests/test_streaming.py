@@ -42,7 +42,7 @@ def samples(seed=1, n=80):
 def test_incidents(spark, hist, feed, tmp_path, width):
     rows = samples()
     stream = feed([hist(rows[i : i + 20]) for i in range(0, 80, 20)], schemas.HISTORY)
-    rules = intervals.limit_rules(spark, [("a", ">", 5), ("b", "<", 5), ("b", ">", 8)])
+    rules = [("a", ">", 5), ("b", "<", 5), ("b", ">", 8)]
 
     def follow(checkpoint):
         run(jobs.follow_incidents(stream, rules, str(tmp_path / "state"), str(tmp_path / "out"), str(tmp_path / checkpoint), block_ms=width))
@@ -75,7 +75,7 @@ def session_frame(spark, ids, last):
 def test_usage_refresh_and_metrics(spark, feed, tmp_path):
     stream = feed([session_frame(spark, [1, 2], 30), session_frame(spark, [2, 3], 150)], schemas.SESSIONS)
     run(jobs.refresh_usage(stream, str(tmp_path / "a"), str(tmp_path / "h"), str(tmp_path / "c")))
-    active = state.read_version(spark, str(tmp_path / "a"), schemas.USAGE_ACTIVE)
+    active = state.read_commit(spark, str(tmp_path / "a"), schemas.USAGE_ACTIVE)
     assert {r.conn_id: sec(r.last_ts) for r in active.collect()} == {"c1": 30, "c2": 150, "c3": 150}
     metrics = spark.read.parquet(str(tmp_path / "h"))
     got = {(r.tag, sec(r.ts)): r.value for r in metrics.collect()}
@@ -86,16 +86,50 @@ def test_usage_refresh_and_metrics(spark, feed, tmp_path):
 
 def test_usage_rollup(spark, table, feed, tmp_path):
     tracked = table([("n", f"u{i}", f"c{i}", i, "m", "ip", at(9), at(0), "app", 5, 0, 0) for i in (1, 2, 3)], schemas.USAGE_ACTIVE)
-    jobs.seed_state(tracked, str(tmp_path / "a"))
+    jobs.seed_tracked(tracked, str(tmp_path / "a"))
     stream = feed([session_frame(spark, [1, 2], 30), session_frame(spark, [1], 60)], schemas.SESSIONS)
     run(jobs.roll_up_usage(stream, str(tmp_path / "a"), str(tmp_path / "s"), str(tmp_path / "c")))
-    left = state.read_version(spark, str(tmp_path / "a"), schemas.USAGE_ACTIVE)
+    left = state.read_commit(spark, str(tmp_path / "a"), schemas.USAGE_ACTIVE)
     assert [r.conn_id for r in left.collect()] == ["c1"]
-    summary = state.read_version(spark, str(tmp_path / "s"), schemas.USAGE_SUMMARY)
+    summary = state.read_commit(spark, str(tmp_path / "s"), schemas.USAGE_SUMMARY)
     users = {r.name: (r.active_days, r.usage) for r in summary.filter("usage_type = 'User'").collect()}
     assert users == {"u2": (1, 5), "u3": (1, 5)}
 
 
+def test_refresh_and_rollup_take_turns(spark, tmp_path):
+    active, summary = str(tmp_path / "a"), str(tmp_path / "s")
+
+    def snapshot(ids, last):
+        session_frame(spark, ids, last).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schemas.SESSIONS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        for n in ("", "again"):  # with a new checkpoint the batches come once more and change nothing
+            run(jobs.refresh_usage(stream, active, str(tmp_path / "h"), str(tmp_path / f"refresh{n}")))
+            run(jobs.roll_up_usage(stream, active, summary, str(tmp_path / f"rollup{n}")))
+
+    def tracked():
+        return {r.conn_id: sec(r.last_ts) for r in state.read_commit(spark, active, schemas.USAGE_ACTIVE).collect()}
+
+    def users():
+        rows = state.read_commit(spark, summary, schemas.USAGE_SUMMARY).filter("usage_type = 'User'").collect()
+        return {r.name: r.usage for r in rows}
+
+    snapshot([1, 2], 30)
+    assert tracked() == {"c1": 30, "c2": 30} and users() == {}
+    snapshot([2, 3], 150)
+    assert tracked() == {"c2": 150, "c3": 150} and users() == {"u1": 30}
+    snapshot([3, 4], 270)
+    assert tracked() == {"c3": 270, "c4": 270} and users() == {"u1": 30, "u2": 150}
+    assert [(c.job, c.batch) for c in state.commits(spark, active)] == [(j, b) for b in range(3) for j in ("refresh", "rollup")]
+
+
+def test_pruned_commits_leave_each_job_its_newest(spark, table, tmp_path):
+    for job, batch in [("slow", 0), *(("fast", b) for b in range(6))]:
+        state.write_commit(table([(batch,)], "n int"), str(tmp_path / "t"), job, batch)
+    state.prune_commits(spark, str(tmp_path / "t"), keep=2)
+    assert [(c.number, c.job, c.batch) for c in state.commits(spark, str(tmp_path / "t"))] == [(0, "slow", 0), (5, "fast", 4), (6, "fast", 5)]
+    assert state.read_commit(spark, str(tmp_path / "t"), "n int").first().n == 5
+
+
 def test_windowed_usage(spark, feed, tmp_path):
     frames = [session_frame(spark, [1, 2], 30), session_frame(spark, [3], 70), session_frame(spark, [4], 4000)]
     stream = feed(frames, schemas.SESSIONS)
@@ -122,6 +156,13 @@ def test_new_tags(spark, table, feed, tmp_path):
     assert got == {("x", "States"), ("y", "Simple"), ("y", "States")} == {(r.source_tag, r.group) for r in whole.collect()}
 
 
+def test_sessions_gone_in_the_newest_snapshot_are_gone(spark):
+    first = session_frame(spark, [1, 2], 10).selectExpr("*", "1 AS snapshot_ts")
+    second = session_frame(spark, [1], 20).selectExpr("*", "2 AS snapshot_ts")
+    got = jobs.latest_sessions(first.union(second))
+    assert [r.conn_id for r in got.collect()] == ["c1"] and "snapshot_ts" not in got.columns
+
+
 def test_latest_snapshot_wins(spark):
     both = session_frame(spark, [1], 10).union(session_frame(spark, [1], 20))
     assert [sec(r.last_ts) for r in jobs.latest_sessions(both).collect()] == [20]
