@@ -95,14 +95,20 @@ def group_summary(
 
 def version_churn(th: DataFrame) -> DataFrame:
     """Tags with several versions and the properties likely to cause them."""
-    per_tag = th.groupBy("tag").agg(
-        F.count("*").alias("versions"),
+    # Equal versions are combined first: the distinct counts handle each row several times.
+    kinds = th.groupBy("tag", "description", "unit", "min_eu", "max_eu").agg(
+        F.count("*").alias("n"),
+        F.min("date_created").alias("first_ts"),
+        F.max("date_created").alias("last_ts"),
+    )
+    per_tag = kinds.groupBy("tag").agg(
+        F.sum("n").alias("versions"),
         F.countDistinct("description").alias("descriptions"),
         F.countDistinct("unit").alias("units"),
         F.countDistinct("min_eu").alias("min_eu_changes"),
         F.countDistinct("max_eu").alias("max_eu_changes"),
-        F.min("date_created").alias("first_ts"),
-        F.max("date_created").alias("last_ts"),
+        F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"),
     )
     life = boundary_diff("second", F.col("first_ts"), F.col("last_ts"))
     return (

@@ -197,12 +197,14 @@ def queue_guards(
     server: int | None = None,
     period: tuple | None = None,
     pattern: str = "%",
+    servers: DataFrame | None = None,
 ) -> DataFrame:
     """Checks made before a backfill, in one pass over the queue.
 
     One row per server, or one row for ``server``: queue size, entries more
     than three days old and the days they span, entries already there for
-    ``period`` (UTC start and end), and whether a backfill may start.
+    ``period`` (UTC start and end), and whether a backfill may start. With
+    ``servers`` those without any entry have a row too.
     """
     age = boundary_diff("day", F.col("mod_end_utc"), ts_lit(now_utc))
     old = age > OLD_AFTER_DAYS
@@ -226,6 +228,10 @@ def queue_guards(
         ).alias("queue_days"),
         F.count_if(queued).alias("period_entries"),
     )
+    if servers is not None and server is None:
+        counts = ["queue_size", "old_entries", "period_entries"]
+        known = servers.select("server_key").distinct()
+        checked = known.join(checked, "server_key", "full").fillna(0, counts)
     refusal = (
         F.when(F.col("old_entries") > 0, "old entries")
         .when(F.col("queue_size") > MAX_QUEUE, "too many entries")

@@ -150,9 +150,11 @@ def usage_metrics(tracked: DataFrame, now, rate_s: int = 60) -> DataFrame:
     """Users and addresses that are active (seen less than ``rate_s`` seconds
     ago) and connected, as four good samples at the floored time."""
     active = boundary_diff("second", F.col("last_ts"), ts_lit(now)) < rate_s
-    counts = tracked.agg(
-        F.countDistinct(F.when(active, F.col("user_name"))).alias("active_users"),
-        F.countDistinct(F.when(active, F.col("ip"))).alias("active_nodes"),
+    # Sessions are combined first: the distinct counts handle each row several times.
+    seen = tracked.groupBy("user_name", "ip").agg(F.max(active).alias("active"))
+    counts = seen.agg(
+        F.countDistinct(F.when(F.col("active"), F.col("user_name"))).alias("active_users"),
+        F.countDistinct(F.when(F.col("active"), F.col("ip"))).alias("active_nodes"),
         F.countDistinct("user_name").alias("connected_users"),
         F.countDistinct("ip").alias("connected_nodes"),
     )

@@ -77,6 +77,8 @@ def test_queue_summary(queue, servers):
 def test_queue_guards(queue):
     got = {r.server_key: (r.queue_size, r.old_entries, r.queue_days, r.refusal, r.may_start) for r in rep.queue_guards(queue, "2024-01-10").collect()}
     assert got == {1: (2, 2, 2, "old entries", False), 2: (1, 0, None, None, True)}
+    idle = rep.queue_guards(queue, "2024-01-10", servers=queue.sparkSession.range(1, 4).withColumnRenamed("id", "server_key"))
+    assert {r.server_key: (r.queue_size, r.period_entries, r.may_start) for r in idle.collect()} == {1: (2, 0, False), 2: (1, 0, True), 3: (0, 0, True)}
     r = rep.queue_guards(queue, "2024-01-10", server=7).first()
     assert (r.queue_size, r.may_start) == (0, True)
     r = rep.queue_guards(queue, "2024-01-10", server=2, period=("2024-01-09", "2024-01-10"), pattern="b%").first()
