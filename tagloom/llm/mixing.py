@@ -149,7 +149,7 @@ def mixture(rows: DataFrame, plan: list[tuple], block: int = BLOCK, seed: int =
     )
     # The order within a source, and where each document begins in it: first by ranges of the shuffling hash, then within them.
     bits = max(1, (shuffle_partitions(spark) - 1).bit_length())
-    mixed = F.xxhash64(F.lit(seed), "doc_id", "key")
+    mixed = F.xxhash64(F.lit(seed), "doc_id")
     laid = (
         rows.where("size > 0")
         .withColumn("_h", mixed)
@@ -186,7 +186,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = REPE
     """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` of every row of ``docs``.
 
     Null text and texts without a word have size 0 and take no part. A null source is a source; rows that repeat an id count
-    each for themselves. An empty table gives no rows. Runs agree: the shuffle hashes ``seed``, the id and the row's number.
+    each for themselves. An empty table gives no rows. Runs agree: the shuffle hashes ``seed``
+    and the id, whatever the partitioning; rows that share an id follow the table's order.
     """
     rows = sized(docs)
     plan = recipe(rows, weights, repeats)
