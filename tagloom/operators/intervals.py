@@ -13,7 +13,7 @@ from tagloom.functions.time import MS, div, instant, micros, to_us
 from tagloom.operators.retrieval import since, wide_us
 from tagloom.operators.summary import statistics, weighted
 from tagloom.plans.blocks import BLOCK_MS, in_order, runs
-from tagloom.sources.history import in_range_us, samples_us, scan_history
+from tagloom.sources.history import good_value, in_range_us, scan_history
 
 
 def slice_by(
@@ -23,9 +23,12 @@ def slice_by(
     start,
     end,
     block_ms: int = BLOCK_MS,
+    slice_value: str = "value",
 ) -> DataFrame:
     """Summarise tags over each constant-value run of a slicing tag.
 
+    ``slice_value`` is the column the slicing tag is read from: numbers, or text
+    such as a phase or a batch name.
     A slice runs from one change of ``slice_tag`` in (start, end) to the next,
     half-open; the last, open run yields no row. Values in force when a slice
     begins count towards it.
@@ -35,10 +38,17 @@ def slice_by(
     and no interval join is needed.
     """
     summary_tags = list(summary_tags)
-    slicing = samples_us(scan_history(df, [slice_tag]), start, end, "()")
+    good = good_value(slice_value).alias("sv")
+    slicing = scan_history(df, [slice_tag], start, end, "()").select("tag", micros(F.col("ts")).alias("us"), good)
     not_a_number = F.lit(float("nan"))
+    # Values are filled forward, so a missing one needs a mark of its own.
+    is_text = dict(df.dtypes)[slice_value] == "string"
+    if is_text:
+        marked = F.coalesce(F.concat(F.lit("="), F.col("sv")), F.lit(""))
+    else:
+        marked = F.coalesce("sv", not_a_number)
     starts = (
-        runs(slicing, ["value"], block_ms=block_ms)
+        runs(slicing, ["sv"], block_ms=block_ms)
         .select(
             F.explode(F.array(*[F.lit(t) for t in summary_tags])).alias("tag"),
             "us",
@@ -47,7 +57,7 @@ def slice_by(
             # The open run only ends the slice before it.
             F.coalesce("end_us", "us").alias("slice_end"),
             F.col("end_us").isNull().alias("slice_open"),
-            F.coalesce("value", not_a_number).alias("slice_v"),
+            marked.alias("slice_v"),
         )
     )
     samples = in_range_us(scan_history(df, summary_tags), start, end).select(
@@ -57,7 +67,7 @@ def slice_by(
         F.lit(None).cast("long").alias("slice_us"),
         F.lit(None).cast("long").alias("slice_end"),
         F.lit(None).cast("boolean").alias("slice_open"),
-        F.lit(None).cast("double").alias("slice_v"),
+        F.lit(None).cast("string" if is_text else "double").alias("slice_v"),
     )
     stretches = in_order(
         starts.unionByName(samples),
@@ -75,10 +85,14 @@ def slice_by(
     )
     length = F.col("slice_end") - F.col("slice_us")
     stats = statistics(length)
+    if is_text:
+        shown = F.when(F.col("slice_v") != "", F.substring("slice_v", 2, 2**31 - 1))
+    else:
+        shown = F.when(~F.isnan("slice_v"), F.col("slice_v")).cast("string")
     return sums.select(
         instant(F.col("slice_us")).alias("start_ts"),
         instant(F.col("slice_end")).alias("end_ts"),
-        F.when(~F.isnan("slice_v"), F.col("slice_v")).cast("string").alias("slice_value"),
+        shown.alias("slice_value"),
         "tag",
         stats.pop("average").alias("average"),
         div(length, MS).alias("duration_ms"),

@@ -341,10 +341,10 @@ def _(t):
 # Irregular intervals
 
 
-@query(
-    "slice_by",
-    f"""WITH r AS (SELECT epoch_us(ts) AS us, 's' AS tag,
-                          CASE WHEN quality = 192 THEN value END AS v
+def _slice_sql(slice_value: str) -> str:
+    """The rows of slicing all other tags by the on/off signal of one."""
+    return f"""WITH r AS (SELECT epoch_us(ts) AS us, 's' AS tag,
+                          CASE WHEN quality = 192 THEN {slice_value} END AS v
                    FROM discrete WHERE tag = 'click' AND ts > TS'{S}' AND ts < TS'{E}'),
         {runs_ctes("sl", "r", "v")},
         {bounded_rows("b0", "history", S, E)},
@@ -380,14 +380,28 @@ def _(t):
               FROM q LEFT JOIN g ON g.tag = q.tag AND g.s_us = q.us)
         {select("z", ["start_ts", "end_ts", "slice_value", "tag", "average", "duration_ms",
                       "minimum", "min_ts", "maximum", "max_ts", "std_dev", "integral",
-                      "value_count", "percent_good"])}""",
-)
+                      "value_count", "percent_good"])}"""
+
+
+def _sliced(t, slice_value: str):
+    signal = t.discrete.filter("tag = 'click'")
+    word = F.when(F.col("value") == 1, "high").when(F.col("value") == 0, "low")
+    both = t.history.filter("tag <> 'click'").withColumn("word", F.lit(None).cast("string"))
+    both = both.unionByName(signal.withColumn("word", word))
+    others = [x for x in TAGS if x != "click"]
+    return rounded(intervals.slice_by(both, "click", others, START, END, slice_value=slice_value))
+
+
+@query("slice_by", _slice_sql("value"))
 def _(t):
     """All other tags sliced by the on/off signal of one."""
-    both = t.history.filter("tag <> 'click'").unionByName(t.discrete.filter("tag = 'click'"))
-    return rounded(
-        intervals.slice_by(both, "click", [x for x in TAGS if x != "click"], START, END)
-    )
+    return _sliced(t, "value")
+
+
+@query("slice_by_text", _slice_sql("CASE value WHEN 1 THEN 'high' WHEN 0 THEN 'low' END"))
+def _(t):
+    """The same slices, told apart by a text."""
+    return _sliced(t, "word")
 
 
 @query(

@@ -1,5 +1,6 @@
 import pytest
 from conftest import at, sec
+from pyspark.sql import functions as F
 
 from tagloom.operators import intervals
 
@@ -35,6 +36,14 @@ def test_slices_before_1970(hist, width, shift):
     assert [(sec(r.start_ts) - shift, sec(r.end_ts) - shift, r.average) for r in sorted(got)] == [(1, 5, 4), (5, 9, 4)]
 
 
+@pytest.mark.parametrize("width", WIDTHS)
+def test_slices_by_text(hist, width):
+    df = hist([("p", s, 0) for s in (1, 2, 5, 7, 9)] + [("t", 0, 4), ("t", 6, 8)])
+    phase = F.when(df["ts"] < F.lit(at(5)), "fill").when(df["ts"] < F.lit(at(7)), "").when(df["ts"] > F.lit(at(8)), "drain")
+    got = intervals.slice_by(df.withColumn("phase", phase), "p", ["t"], at(0), at(20), block_ms=width, slice_value="phase").collect()
+    assert [(sec(r.start_ts), sec(r.end_ts), r.slice_value, r.average) for r in sorted(got)] == [(1, 5, "fill", 4), (5, 7, "", 6), (7, 9, None, 8)]
+
+
 @pytest.mark.parametrize("width", WIDTHS)
 def test_slices_start_after_the_window_opens(hist, width):
     df = hist([("p", 0, 1), ("p", 5, 2), ("p", 9, 3), ("t", 0, 1)])
