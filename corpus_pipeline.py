@@ -25,7 +25,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are alike (five-word shingles, 0.8 of the fingerprint), the one with the least doc_id stays."""
+    """Of documents that are alike (0.8 of their five-word shingles), the one with the least doc_id stays."""
     return simhash.deduplicate(docs)
 
 

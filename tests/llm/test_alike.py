@@ -1,0 +1,49 @@
+"""Near-copies of the pipeline against the plain similarity of their shingles."""
+
+import numpy as np
+
+from tagloom.llm import simhash
+
+from .test_simhash import roots
+
+
+def shingles(text, words=5):
+    tokens = text.lower().split()
+    return {" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))} if tokens else set()
+
+
+def similar(a, b):
+    return not a | b or len(a & b) >= 0.8 * len(a | b)
+
+
+def grouped(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = dict(map(tuple, simhash.alike(frame).collect()))
+    return [got[i] for i in range(len(texts))]
+
+
+def test_links_are_those_of_the_shingles(spark, monkeypatch):
+    """Pairs just above and below the limit, in short and long texts: fingerprints alone cannot tell them apart."""
+    monkeypatch.setattr(simhash, "SETS", 40)
+    monkeypatch.setattr(simhash, "PART", 50)
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(9000)]
+    texts = ["", " ", "one", "One", "one two"]
+    for n in [6, 8, 9, 10, 13, 14, 30, 60, 200, 400]:
+        for share in (0.02, 0.08, 0.1, 0.11, 0.12, 0.14, 0.2, 0.25, 0.3):
+            text = rng.choice(words, n).tolist()
+            texts.append(" ".join(text))
+            texts.append(" ".join(text[: n - round(2 * share * n)]))
+            texts.append(" ".join(text[: n - round(share * n)] + rng.choice(words, round(share * n)).tolist()))
+    body = rng.choice(words, 90).tolist()
+    texts += [" ".join(body[:k] + rng.choice(words, 90 - k).tolist()) for k in rng.integers(60, 90, 120)]
+    held = [shingles(t) for t in texts]
+    expected = roots(len(texts), lambda i, j: similar(held[i], held[j]))
+    assert grouped(spark, texts) == expected
+    assert len(set(expected)) < len(texts)
+
+
+def test_given_documents(spark, given):
+    texts = [r["text"] for r in given[1]]
+    held = [shingles(t) for t in texts]
+    assert grouped(spark, texts) == roots(len(texts), lambda i, j: similar(held[i], held[j]))
