@@ -47,3 +47,9 @@ def test_given_documents(spark, given):
     texts = [r["text"] for r in given[1]]
     held = [shingles(t) for t in texts]
     assert grouped(spark, texts) == roots(len(texts), lambda i, j: similar(held[i], held[j]))
+
+
+def test_unrelated_six_word_texts_stay_apart(spark):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 6)) for _ in range(6000)]
+    assert grouped(spark, texts) == list(range(6000))
