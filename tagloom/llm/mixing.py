@@ -2,7 +2,7 @@
 
 The points ``frac(k * golden ratio)``, held as 64-bit integers, are mapped through the cumulative target shares: each slot of
 the schedule names a source, and any stretch of slots holds the sources nearly in their shares. Slots are ranked within their
-source. Each source's documents are shuffled and laid end to end, as often as its target needs, and cut into blocks of equal
+source; ranks that a source needs and the points do not reach follow as slots of their own. Each source's documents are shuffled and laid end to end, as often as its target needs, and cut into blocks of equal
 size; slot number r of a source takes its block r. The last block of a source ends at its target.
 """
 
@@ -133,8 +133,8 @@ def mixture(rows: DataFrame, plan: list[tuple], block: int = BLOCK, seed: int =
     """What each slot takes: ``slot``, ``at`` (the source's place in the plan), ``key``, ``pass``, ``first_word``, ``words``.
 
     ``rows`` comes from ``sized``. Two slots are apart by the words of one block (fewer in a source's last). A source meets its
-    target exactly unless the schedule's first slots, a fiftieth more than needed, give it too few: then it is a few blocks
-    short.
+    target, rounded down, exactly: where the schedule's first slots, a fiftieth more than needed, give it too few, the blocks
+    that are left take slots after these.
     """
     spark = rows.sparkSession
     goals = np.array([np.floor(g) for *_, g in plan])
@@ -178,6 +178,17 @@ def mixture(rows: DataFrame, plan: list[tuple], block: int = BLOCK, seed: int =
     starts = counts.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     starts = starts.groupBy("stretch").agg(F.collect_list(F.struct("at", "base")).alias("bases"))  # at most a row per source
     ranked = starts.mapInArrow(_schedule(limits, slots, True), "slot long, at long, block long")
+    # What the points left out, at most a row per source.
+    reached = np.zeros(len(plan), np.int64)
+    for at, n in counts.groupBy("at").agg(F.sum("n")).collect():
+        reached[at] = n
+    wanted = -(-goals.astype(np.int64) // block)
+    missing = np.maximum(wanted - reached, 0)
+    base = slots + np.cumsum(missing) - missing
+    short = [(int(i), int(reached[i]), int(wanted[i]), int(base[i])) for i in np.flatnonzero(missing)]
+    short = spark.createDataFrame(short, "at long, reached long, wanted long, base long")
+    late = short.withColumn("block", F.explode(F.sequence("reached", F.col("wanted") - 1)))
+    ranked = ranked.union(late.select((F.col("base") + F.col("block") - F.col("reached")).alias("slot"), "at", "block"))
     # Both sides grow with the corpus, but the schedule's size is not known before it runs: never broadcast it.
     return ranked.hint("merge").join(parts.hint("merge"), ["at", "block"]).select("slot", "at", "key", "pass", "first_word", "words")
 

@@ -78,3 +78,20 @@ def test_mixture_as_documents(given):
     for r in got.collect():
         words[r["doc_id"]] = words.get(r["doc_id"], 0) + len(r["text"].encode().split())
     assert sum(words.values()) == pytest.approx(sum(taken.values()), rel=0.01)
+
+
+@pytest.mark.parametrize("low,high", [(5, 40), (60, 130)])
+def test_small_sources_beside_a_large_one_meet_their_targets(spark, low, high):
+    rng = np.random.default_rng(low)
+    rows = [(i, f"s{i:02}", "w " * int(n)) for i, n in enumerate(rng.integers(low, high, 50))]
+    rows += [(100 + i, "large", "w " * 2000) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    taken, goal = {}, {}
+    for r in mixing.mix(docs).collect():
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        goal[r["source"]] = int(r["target"])
+    assert taken == goal
+    sized = mixing.sized(docs)
+    slots = mixing.mixture(sized, mixing.recipe(sized)).select("slot", "at").distinct().collect()
+    assert len({r["slot"] for r in slots}) == len(slots)
+    assert {r["source"] for r in mixing.mixed(docs).collect()} == {s for s, g in goal.items() if g}
