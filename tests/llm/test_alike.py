@@ -53,3 +53,13 @@ def test_unrelated_six_word_texts_stay_apart(spark):
     rng = np.random.default_rng(9)
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 6)) for _ in range(6000)]
     assert grouped(spark, texts) == list(range(6000))
+
+
+def test_no_pair_at_the_limit_is_lost(spark):
+    """Each pair shares exactly 0.8: fingerprints of 128 bits within 25 lose one of fourteen, sampled tables further ones."""
+    rng = np.random.default_rng(10)
+    texts = []
+    for _ in range(500):
+        text = [f"w{x}" for x in rng.integers(0, 1_000_000, 104)]
+        texts += [" ".join(text), " ".join(text[:84])]
+    assert grouped(spark, texts) == [i - i % 2 for i in range(1000)]
