@@ -23,8 +23,6 @@ from tagloom.llm.quality import in_fold
 DIMENSIONS = 1024
 GRAM = 3
 SEED = 11
-#: Profiles are learned from about so many texts at most, chosen by a hash of the id.
-SAMPLE = 20_000
 #: n-gram vectors that a worker keeps, and characters counted at a time.
 KEPT, STRETCH = 1 << 15, 1 << 20
 UNKNOWN = "und"
@@ -143,15 +141,13 @@ def _bundles(seed: int):
     return run
 
 
-def train(docs: DataFrame, allowed: Column, sample: int = SAMPLE, seed: int = SEED) -> Profiles:
+def train(docs: DataFrame, allowed: Column, seed: int = SEED) -> Profiles:
     """Profiles from ``text`` and ``lang`` (neither null) of the ``allowed`` rows.
 
-    A hash of the id lets about ``sample`` rows through; each task adds up its own, and the driver gets one vector per language.
+    All of them are learned from, so a rare language has its profile too. Each task adds up its own, and the driver gets one
+    vector per language.
     """
     rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    total = rows.count()
-    if total > sample:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(sample / total * 1_000_000))
     parts = rows.select("lang", "text").mapInArrow(_bundles(seed), "lang string, at long, value double")
     sums: dict[str, np.ndarray] = {}
     for lang, at, value in parts.groupBy("lang", "at").agg(F.sum("value")).collect():

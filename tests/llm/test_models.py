@@ -130,3 +130,12 @@ def test_language_messy_and_empty(spark, messy, none):
     assert language.identify(none, profiles).count() == 0
     nothing = language.train(none, none["doc_id"].isNotNull())
     assert language.identify(messy, nothing).where("lang_pred = 'und'").count() == 9
+
+
+def test_a_rare_language_of_a_large_table_has_a_profile(spark):
+    late = spark.range(200_000).where("pmod(xxhash64(id), 1000000) > 990000").limit(3)  # a sample by hash would leave these out
+    rare = late.selectExpr("id AS doc_id", "'zq kxw vrj qqx zzk xvw' AS text", "'rare' AS lang")
+    docs = rare.union(spark.range(30_000).selectExpr("id + 1000000", "'these are common words'", "'en'"))
+    profiles = language.train(docs, docs["doc_id"].isNotNull())
+    assert profiles.names == ["en", "rare"]
+    assert profiles.predict("kxw vrj zq", language.Space())[0] == "rare"
