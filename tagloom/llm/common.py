@@ -60,6 +60,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*(c for c in df.columns if c.lower() in lower))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession

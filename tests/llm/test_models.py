@@ -9,9 +9,6 @@ from tagloom.llm import language, quality, toxicity
 
 from .conftest import SF
 
-INSULTS = set("trash pathetic idiot worthless disgusting stupid clown scum loser moron".split())
-
-
 def held(doc_id, folds, fold):
     return zlib.crc32(str(doc_id).encode()) % folds == fold
 
@@ -62,7 +59,7 @@ def test_ordinal_thresholds_share_weights():
         text = " ".join([*rng.choice([f"w{i}" for i in range(200)], 40), *["awful"] * min(grade, 1), *["vile"] * (grade == 2)])
         rows.append(toxicity.features(text))
         grades.append(grade)
-    cells, weights, thresholds, _ = toxicity.fit(rows, np.array(grades), np.ones(600))
+    cells, weights, thresholds, _ = toxicity.fit(toxicity.Rows.of(rows), np.array(grades), np.ones(600))
     model = toxicity.OrdinalModel(cells, weights, thresholds)
     assert thresholds[0] <= thresholds[1]
     assert model.severity("w1 w2") < 0.5 < model.severity("w1 awful") < 1.5 < model.severity("w1 awful vile")
@@ -79,18 +76,60 @@ def test_features_of_long_texts(monkeypatch):
     assert len(toxicity.features("")[0]) == 0
 
 
-def test_toxicity_finds_insults(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    model = toxicity.train(docs, spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
-    rows = docs.where("doc_id % 20 = 0").select("text").collect()
-    toxic = np.array([bool(INSULTS & set(r["text"].lower().replace(".", " ").replace(",", " ").split())) for r in rows])
-    rejected = np.array([model.severity(r["text"]) >= model.cut for r in rows])
-    assert rejected[toxic].mean() > 0.9 and rejected[~toxic].mean() < 0.02
+def test_toxicity_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
+    got = {r["doc_id"]: r for r in toxicity.op5_toxicity(spark, folder).collect()}
+    assert len(got) == len(langs) and all(r["held_out"] == held(i, 5, 0) and 0 <= r["severity"] <= 2 for i, r in got.items())
+    test = [i for i, r in got.items() if r["held_out"] and labels.get(i) is not None]
+    for lang in set(langs.values()):
+        assert np.mean([got[i]["predicted"] for i in test if labels[i] == 1 and langs[i] == lang]) > 0.7
+    assert np.mean([got[i]["predicted"] for i in test if labels[i] == 0]) < 0.02
+
+
+def test_ordinal_fit_equals_a_plain_one(monkeypatch):
+    """The plain version: dense arrays, ordinary proximal steps, the loss of each boundary written out."""
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(toxicity, "LIFT", 0.0)
+    monkeypatch.setattr(toxicity, "RARE", 1)
+    x = (rng.random((90, 12)) < 0.4) * rng.uniform(0.5, 2.0, (90, 12))
+    grades = np.clip(np.round(x[:, 0] + x[:, 1] - x[:, 2] * 0.2 + rng.normal(0, 0.3, 90)), 0, 2).astype(int)
+    rows = toxicity.Rows.of([(np.flatnonzero(r).astype(np.int32), r[r > 0].astype(np.float32)) for r in x])
+    penalty = 5e-3
+    cells, weights, thresholds, raw = toxicity.fit(rows, grades, np.ones(90), penalty, 4000)
+    importance = 1.0 / np.bincount(grades)[grades] / 3
+    w, cut = np.zeros(12), np.zeros(2)
+    for _ in range(30_000):
+        error = np.stack([(1 / (1 + np.exp(-(x @ w - c))) - (grades > k)) * importance for k, c in enumerate(cut)], axis=1)
+        w = np.maximum(w - 0.1 * (x.T @ error.sum(axis=1)) - 0.1 * penalty, 0.0)
+        cut = cut + 0.1 * error.sum(axis=0)
+    full = np.zeros(12)
+    full[cells] = weights
+    assert np.allclose(full, w, atol=0.02) and np.allclose(thresholds, cut, atol=0.02) and np.allclose(raw, x @ full, atol=1e-4)
+
+
+def test_best_cut_does_least_harm():
+    rng = np.random.default_rng(1)
+    for share in (0.0, 0.3, 1.0):
+        toxic = (rng.random(400) < 0.2).astype(int)
+        severity = np.round(rng.random(400) * 0.6 + toxic * (rng.random(400) < share), 2)
+        weight = rng.choice([0.25, 1.0], 400)
+
+        def harm(cut):
+            bad, clean = (weight[(toxic == k) & (severity >= cut)].sum() / weight[toxic == k].sum() for k in (1, 0))
+            return (toxicity.WRONGED * clean - bad, clean)
+
+        cuts = [c - 1e-9 for c in set(severity)] + [severity.max() + 1]
+        least = min(harm(c)[0] for c in cuts if harm(c)[1] <= toxicity.REJECTED)
+        got = harm(toxicity.best_cut(severity, toxic, weight))
+        assert got[1] <= toxicity.REJECTED and got[0] == pytest.approx(least)
 
 
 def test_toxicity_messy_and_empty(messy, none):
-    model = toxicity.OrdinalModel(np.zeros(0, np.int64), np.zeros(0), np.array([1.0, 2.0]))
-    got = toxicity.with_severity(messy, model)
+    model = toxicity.OrdinalModel(np.zeros(0, np.int32), np.zeros(0), np.array([1.0, 2.0]))
+    got = toxicity.with_severity(messy.selectExpr("*", "doc_id AS scored"), model)
+    assert got.where("NOT scored <=> doc_id").count() == 0
     assert got.count() == 9 and got.columns.count("score") == 1 and got.where("severity IS NULL").count() == 0
     assert toxicity.accepted(messy, model).columns == messy.columns
     assert toxicity.accepted(messy, model).count() == 9 and toxicity.accepted(none, model).count() == 0
