@@ -1,52 +1,41 @@
 """Near-duplicates by SimHash, compared bit-sliced.
 
-A text's fingerprint has 64 bits for each seed, each the majority of that bit over the hashes of its word shingles.
+A text's fingerprint has 64 bits, each the majority of that bit over the hashes of its word shingles.
 
 Close fingerprints (64 bits, radius 3) agree in at least two of five bit blocks, so each pair of blocks gives a table of
 buckets: ten tables, keys of 25 or 26 bits, and no pair is missed.
 
-Alike texts share 0.8 of their distinct shingles. Of two such sets, each of n shingles in the order of their hashes, the first
-n - ceil(0.8 n) + 1 have one in common, so each of these names a bucket and no pair is missed, whatever the count. Within a
-bucket 256-bit fingerprints in a loose radius (seven deviations above what 0.8 leaves on average, ties of the majority broken by
-a further hash) link candidates; within the components of these links each pair that would join two groups is confirmed by the
-shingles themselves.
-
 Within a bucket fingerprints are stored as bit planes, 64 to a word: one word operation advances 64 distances. Distances are
 counted in carry-save counters, a few planes and an overflow, and a word whose distances have all overflowed is abandoned.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from tagloom.llm.common import lookup, stored, whole_text, without
+from tagloom.llm.common import lookup, stored, unused, whole_text
 from tagloom.llm.components import components
 
 WORDS = 3
 RADIUS = 3
 SEED = 42
-#: For texts that are alike rather than equal but for a few bits; their fingerprints have so many words of 64 bits.
-ALIKE_WORDS, SIMILARITY, ALIKE_WIDE, DEVIATIONS = 5, 0.8, 4, 7
 #: First bit and width of each block.
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 TABLES = list(combinations(range(5), 2))
 #: Fingerprints of a bucket that one task compares; larger buckets are cut, and each pair of parts is a task's work.
 PART = 4096
-#: The same for sets of shingles, which take more memory.
-SETS = 512
 #: Words and shingles handled at a time within one text.
 CHUNK = 1 << 16
 
-OUTPUTS = ("fingerprint", "component_id")
-
 
 def _bits(hashes: np.ndarray) -> np.ndarray:
     """How many of the hashes set each bit."""
@@ -80,31 +69,6 @@ def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > shingles, bitorder="little").view(np.uint64)[0])
 
 
-def shingle_set(text: str, words: int = ALIKE_WORDS) -> np.ndarray:
-    """The distinct hashes of a text's word shingles, ascending."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text, words, SEED)]))
-
-
-def _mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
-    """Further hashes of hashes."""
-    x = hashes + np.uint64((turn + 1) * 0x9E3779B97F4A7C15 & 2**64 - 1)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def wide_fingerprint(held: np.ndarray, wide: int = ALIKE_WIDE) -> np.ndarray:
-    """The SimHash of a set of shingles, ``wide`` words; ties take the bits of a further hash of the set's first shingle."""
-    out = np.zeros(wide, np.uint64)
-    for turn in range(wide if len(held) else 0):
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(held), CHUNK):
-            ones += _bits(_mixed(held[at : at + CHUNK], turn))
-        tie = _bits(_mixed(held[:1], wide + turn)) > 0
-        out[turn] = np.packbits((2 * ones > len(held)) | (2 * ones == len(held)) & tie, bitorder="little").view(np.uint64)[0]
-    return out
-
-
 def _fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,6 +79,14 @@ def _fingerprints(words: int):
     return run
 
 
+def _fingerprint_of(words: int) -> Callable[[Column], Column]:
+    @F.pandas_udf(LongType())
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
+
+    return run
+
+
 def _given(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
@@ -124,45 +96,10 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return _given(docs).mapInArrow(_fingerprints(words), "doc_id long, f0 long")
 
 
-def _sets(words: int, similarity: float, whole: bool):
-    """Rows with ``node`` (a hash of the set), ``f0``, ... and the set, or else only so much of it that alike ones share one."""
-    names = ["doc_id", "node", *(f"f{i}" for i in range(ALIKE_WIDE)), "held"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 200):  # bounds what one batch of sets holds
-                part = batch.slice(lo, 200)
-                nodes, prints, held = [], [], []
-                for x in part.column("text"):
-                    found = shingle_set(x.as_py(), words)
-                    nodes.append(xxhash.xxh3_64_intdigest(found.tobytes()))
-                    prints.append(wide_fingerprint(found))
-                    n = len(found)
-                    held.append((found if whole else found[: n - needed(similarity, n) + 1 if n else 0]).view(np.int64))
-                offsets = pa.array(np.r_[0, np.cumsum([len(x) for x in held])].astype(np.int32))
-                cols = [part.column("doc_id"), pa.array(np.array(nodes, np.uint64).view(np.int64))]
-                cols += [pa.array(c) for c in np.array(prints).view(np.int64).T.copy()]
-                cols.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(held))))
-                yield pa.RecordBatch.from_arrays(cols, names)
-
-    return run
-
-
-def needed(similarity: float, n: int) -> int:
-    """The least number that is at least ``similarity`` of ``n``."""
-    return math.ceil(similarity * n - 1e-9)
-
-
-def shingle_sets(docs: DataFrame, words: int, similarity: float, whole: bool) -> DataFrame:
-    schema = ", ".join(["doc_id long, node long", *(f"f{i} long" for i in range(ALIKE_WIDE)), "held array<long>"])
-    return _given(docs).mapInArrow(_sets(words, similarity, whole), schema)
-
-
-def _within(fps: np.ndarray, runs: np.ndarray, radius: int = RADIUS, confirm: Callable | None = None) -> np.ndarray:
+def _within(fps: np.ndarray, runs: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     """For each fingerprint (a row of words) the place of the first one it is linked to in its run, directly or over others.
 
-    ``runs`` ascends and says which rows are compared with each other. ``confirm`` tells of pairs within the radius (two arrays
-    of places) which are links; it is asked about every pair that earlier links do not join.
+    ``runs`` ascends and says which rows are compared with each other.
     """
     n, wide = fps.shape
     begin = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]])
@@ -218,15 +155,6 @@ def _within(fps: np.ndarray, runs: np.ndarray, radius: int = RADIUS, confirm: Ca
         u, v = asks[some][a], starts_word[at[some][a]] + b
         keep = u < v
         u, v = u[keep], v[keep]
-        while confirm and len(u):
-            apart = label[u] != label[v]
-            u, v = u[apart], v[apart]
-            first = np.unique(v, return_index=True)[1]  # one pair of each row at a time: its links may settle the others
-            sure = first[confirm(u[first], v[first])]
-            label = _joined(label, u[sure], v[sure])
-            left = np.ones(len(u), bool)
-            left[first] = False
-            u, v = u[left], v[left]
         label = _joined(label, u, v)
     return label
 
@@ -282,55 +210,6 @@ def _block_keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "f0", F.explode(F.array(*keys)).alias("s")).select("s.t", "s.k", "node", "f0")
 
 
-def _confirmed(wide: int, radius: int, similarity: float):
-    """Links of the candidates of each ``k`` and ``p``, which come whole and in order, by their sets of shingles."""
-
-    def links(part: pa.Table) -> pa.RecordBatch:
-        col = {c: part[c].combine_chunks().to_numpy(zero_copy_only=False) for c in part.column_names if c != "held"}
-        runs = np.cumsum(np.r_[False, (col["k"][1:] != col["k"][:-1]) | (col["p"][1:] != col["p"][:-1])])
-        sets = [x.values.to_numpy().view(np.uint64) for c in part["held"].chunks for x in c]
-
-        def confirm(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-            return np.array([alike_sets(sets[a], sets[b], similarity) for a, b in zip(u.tolist(), v.tolist(), strict=True)], bool)
-
-        prints = np.stack([col[f"f{i}"].view(np.uint64) for i in range(wide)], axis=1)
-        label = _within(prints, runs, radius, confirm)
-        moved = np.flatnonzero(label != np.arange(len(label)))
-        return pa.RecordBatch.from_arrays([pa.array(col["node"][moved]), pa.array(col["node"][label[moved]])], ["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []  # batches since the last group began
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            k, p = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "p"))
-            cut = int(((k == k[-1]) & (p == p[-1])).argmax())  # the last group may go on in the next batch
-            if held and (cut or (k[0], p[0]) != last):
-                yield links(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-            elif cut:
-                yield links(pa.Table.from_batches([batch.slice(0, cut)]))
-            held.append(batch.slice(cut))
-            last = (k[-1], p[-1])
-        if held:
-            yield links(pa.Table.from_batches(held))
-
-    return run
-
-
-def alike_sets(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    """Whether two ascending sets share at least ``similarity`` of all they hold."""
-    a, b = (a, b) if len(a) <= len(b) else (b, a)
-    if len(a) < needed(similarity, len(b)):
-        return False
-    if not len(b):
-        return True
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    both = int((b[at] == a).sum())
-    return both >= needed(similarity, len(a) + len(b) - both)
-
-
 def links(rows: DataFrame, wide: int, radius: int) -> DataFrame:
     """Links ``a``, ``b`` (nodes) that span every group of fingerprints of one bucket within ``radius`` of each other.
 
@@ -377,58 +256,30 @@ def mark(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame
     if not 0 <= radius <= 3:
         raise ValueError("five blocks find pairs of at most 3 differing bits")
     fps = stored(fingerprints(docs, words).withColumn("node", F.col("f0")), "simhash")
-    nodes = fps.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"))
-    nodes = stored(nodes.withColumn("f0", F.col("node")), "simhash-nodes")
-    found = _grouped(fps, nodes, links(_block_keys(nodes), 1, radius))
+    found = _components_of(fps, radius)
     return found.select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def loose_radius(similarity: float, bits: int = 64 * ALIKE_WIDE) -> int:
-    """Differing bits that texts of at least this similarity stay within, but for 2e-10 of pairs at 0.8 (2e-6 of the shortest)."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + DEVIATIONS * math.sqrt(bits * share * (1 - share)))
+def _components_of(fps: DataFrame, radius: int) -> DataFrame:
+    """``fps`` (``doc_id``, ``f0`` and the same as ``node``) with ``component_id``."""
+    nodes = fps.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"))
+    nodes = stored(nodes.withColumn("f0", F.col("node")), "simhash-nodes")
+    return _grouped(fps, nodes, links(_block_keys(nodes), 1, radius))
 
 
-def alike(docs: DataFrame, words: int = ALIKE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id`` and ``component_id`` of every row, by links of texts that share at least ``similarity`` of their shingles.
+def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """One document of each component of ``mark``, the one with the least id, with the columns given.
 
-    Shingles are distinct runs of ``words`` words (a shorter text is one), compared as 64-bit hashes; the share is that of the
-    shingles in both among those in either. Nulls, empty texts and repeats count as in ``mark``.
-    """
-    wide, radius = ALIKE_WIDE, loose_radius(similarity)
-    prints = [f"f{i}" for i in range(wide)]
-    sets = stored(shingle_sets(docs, words, similarity, False), "simhash")
-    firsts = [F.first(c).alias(c) for c in prints]
-    nodes = stored(sets.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"), *firsts), "simhash-nodes")
-    # Buckets of one set are dropped before fingerprints are joined.
-    tokens = sets.select("node", F.explode("held").alias("k"))
-    shared = tokens.groupBy("k").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("k")
-    met = tokens.join(shared, "k").distinct().join(nodes.select("node", *prints), "node").withColumn("t", F.lit(0).cast("long"))
-    near = components(links(stored(met, "simhash-met"), wide, radius))
-    near = near.select(F.col("a").alias("node"), F.col("root").alias("k")).union(near.select("root", "root").distinct())
-    near = stored(near.join(nodes.select("node", "first_id"), "node"), "simhash-near")
-    # Their texts by id; of rows that share an id or have none, those with other sets fall out in the join by the set's hash.
-    ids = near.where("first_id IS NOT NULL").select(F.col("first_id").alias("doc_id")).distinct()
-    given = _given(docs)
-    texts = given.join(ids, "doc_id", "left_semi")
-    if near.where("first_id IS NULL").take(1):
-        texts = texts.union(given.where("doc_id IS NULL"))
-    whole = shingle_sets(texts, words, similarity, True).drop("doc_id").join(near.select("node", "k"), "node")
-    whole = stored(whole.dropDuplicates(["node"]), "simhash-whole")
-    dealt = _dealt(whole, ["k"], ["node", *prints, "held"], SETS)
-    ordered = dealt.repartition("k", "p").sortWithinPartitions("k", "p", *prints)
-    sure = ordered.mapInArrow(_confirmed(wide, radius, similarity), "a long, b long")
-    return _grouped(sets.select("doc_id", "node"), nodes, sure).select("doc_id", "component_id")
-
-
-def deduplicate(docs: DataFrame, words: int = ALIKE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each group of ``alike``, the one with the least id, with the columns given.
-
-    Rows that share an id stay or go together; a group without any id keeps all its rows. Texts without a word are one group.
+    Rows that share an id and a fingerprint are one document; a component without any id keeps all its rows. Texts without a word
+    are one component. The documents are kept in the shared folder beside their fingerprints, which are computed once.
     """
-    found = alike(docs, words, similarity)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    own = unused(docs, "fingerprint_of")
+    held = stored(docs.withColumn(own, _fingerprint_of(words)(whole_text())), "simhash-docs")
+    ids = held.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(own).alias("f0"), F.col(own).alias("node"))
+    found = _components_of(ids, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = found.select(F.col("doc_id").alias("_kept"), F.col("f0").alias("_print")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")) & (F.col(own) == F.col("_print"))
+    return held.join(kept, same, "left_semi").drop(own)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

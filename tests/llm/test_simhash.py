@@ -86,14 +86,16 @@ def test_messy_and_empty(messy, none):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [3, 5, 7, 11]
 
 
-def test_alike_finds_edited_texts_and_leaves_others(spark):
+def test_one_document_of_each_component_stays(spark):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(rng.choice(words, 300)) for _ in range(40)]
     rows = []
-    for i in range(60):
-        text = rng.choice(words, 300).tolist()
-        rows.append((2 * i, " ".join(text)))
-        text[int(rng.integers(0, 300))] = "changed"
-        rows.append((2 * i + 1, " ".join(text)))
-    got = dict(simhash.alike(spark.createDataFrame(rows, "doc_id long, text string")).collect())
-    assert got == {i: i - i % 2 for i in range(120)}
+    for i, text in enumerate(texts):
+        rows += [(3 * i, text, "x"), (3 * i + 1, text.upper(), "y"), (3 * i + 2, text.replace(" ", "  "), "z")]
+    rows += [(0, texts[1], "repeated id"), (None, texts[2], "no id"), (None, "alone and without an id", "no id")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, fingerprint_of string").repartition(5)
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"]) for r in simhash.deduplicate(frame).collect())
+    # Texts 0 and 1 are one row by id 0 each, and different fingerprints: both stay, and text 1's other rows go.
+    stay = [(3 * i, t) for i, t in enumerate(texts) if i != 1] + [(0, texts[1]), (-1, "alone and without an id")]
+    assert got == sorted(stay) and simhash.deduplicate(frame).columns == frame.columns
