@@ -25,8 +25,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are alike (0.8 of their five-word shingles), the one with the least doc_id stays."""
-    return simhash.deduplicate(docs)
+    """Of documents linked by fingerprints (three-word shingles, at most 3 bits apart), the one with the least doc_id stays."""
+    return simhash.deduplicate(docs, words=3, radius=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
