@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.llm import collocations
+from tagloom.llm.collocations import op11_collocations
 from tagloom.llm.common import bounded_batches
 from tagloom.llm.ctph import op1_fingerprints
 from tagloom.llm.exact_dedup import op8_exact_dedup
@@ -52,10 +54,12 @@ QUERIES = {
         "op8_exact_dedup": op8_exact_dedup,
         "op9_language": op9_language,
         "op10_pii": op10_pii,
+        "op11_collocations": op11_collocations,
     }.items()
 }
 
 SQL = {
+    "op11_collocations": collocations.SQL,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
