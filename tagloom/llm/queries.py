@@ -20,6 +20,7 @@ from tagloom.llm.packing import op4_packing
 from tagloom.llm.pii import op10_pii
 from tagloom.llm.quality import op2_quality
 from tagloom.llm.simhash import op7_simhash
+from tagloom.llm.spelling import op12_spelling
 from tagloom.llm.token_files import op3_token_files
 from tagloom.llm.toxicity import op5_toxicity
 
@@ -55,6 +56,7 @@ QUERIES = {
         "op9_language": op9_language,
         "op10_pii": op10_pii,
         "op11_collocations": op11_collocations,
+        "op12_spelling": op12_spelling,
     }.items()
 }
 
