@@ -14,6 +14,7 @@ from tagloom.llm.collocations import op11_collocations
 from tagloom.llm.common import bounded_batches
 from tagloom.llm.ctph import op1_fingerprints
 from tagloom.llm.exact_dedup import op8_exact_dedup
+from tagloom.llm.html_text import op13_html
 from tagloom.llm.language import op9_language
 from tagloom.llm.mixing import op6_mixing
 from tagloom.llm.packing import op4_packing
@@ -57,6 +58,7 @@ QUERIES = {
         "op10_pii": op10_pii,
         "op11_collocations": op11_collocations,
         "op12_spelling": op12_spelling,
+        "op13_html": op13_html,
     }.items()
 }
 

@@ -17,7 +17,7 @@ def test_registered():
     built = entry_module.queries()
     assert set(queries.QUERIES) <= set(built) and "pipeline" in built
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.SQL) <= set(built)
+    assert numbers == list(range(1, 14)) and set(queries.SQL) <= set(built)
 
 
 def test_exact_dedup_equals_its_sql(spark):
