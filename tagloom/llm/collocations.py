@@ -32,7 +32,7 @@ SCALE = 1_000_000
 #: Marks of frequent fingerprints: so many bits, whatever the input. More frequent phrases only mean more false marks.
 MARKS = 1 << 27
 #: Bytes hashed at a time. A longer text is cut between words.
-STRETCH = 1 << 22
+STRETCH = 1 << 20
 #: Salts of the first ranking, which leaves at most so many times TOP rows of a language for the second.
 SALTS = 16
 
@@ -54,7 +54,7 @@ def _table(factor: int, n: int) -> np.ndarray:
 
 def _powers(factor: int, n: int) -> np.ndarray:
     """The first ``n`` powers, from a table that is kept for stretches and made anew for a word longer than one."""
-    return _table(factor, 1 << max(2 * STRETCH, n).bit_length())[:n]
+    return _table(factor, 2 * STRETCH if n <= 2 * STRETCH else 1 << n.bit_length())[:n]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
