@@ -253,24 +253,24 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     found = stored(phrases(docs, least), "phrases")
     total = found.where("words = 1").groupBy("lang").agg(F.sum("n").alias("n"))
     often = found.where(F.col("n") >= least)
-    many = often.where("words > 1").select("lang", "words", "phrase", F.col("n").alias("a"), "doc_id")
     word = F.split("phrase", " ")
     part = lambda at, size: F.array_join(F.slice(word, at, size), " ")
+    many = often.where("words > 1").select("lang", "words", "phrase", F.col("n").alias("a"), "doc_id")
+    inside = many.where("words = 3").select("lang", "a", F.explode(F.array(part(1, 2), part(2, 2))).alias("phrase"))
+    inside = inside.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
+    many = many.join(inside, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < COVERED * F.col("a"), F.lit(True)))
     cuts = F.transform(
         F.sequence(F.lit(1), F.col("words") - 1),
         lambda k: F.struct(k.alias("k"), part(F.lit(1), k).alias("left"), part(k + 1, F.col("words") - k).alias("right")),
     )
-    cut_up = many.select("*", F.explode(cuts).alias("c")).select("*", "c.*")
+    # From here on the two parts stand for the phrase.
+    cut_up = many.select("lang", "a", "doc_id", F.explode(cuts).alias("c")).select("lang", "a", "doc_id", "c.*")
     for side, name in (("left", "l"), ("right", "r")):
         cut_up = cut_up.join(often.select("lang", F.col("phrase").alias(side), F.col("n").alias(name)), ["lang", side])
-    score = F.expr(f"(cast({SCALE} AS decimal(8,0)) * (cast(a AS decimal(15,0)) * cast(a AS decimal(15,0)))) div (cast(l AS decimal(19,0)) * cast(r AS decimal(19,0)))")
-    scored = cut_up.withColumn("score", score)
+    exact = f"(cast({SCALE} AS decimal(8,0)) * (cast(a AS decimal(15,0)) * cast(a AS decimal(15,0)))) div (cast(l AS decimal(19,0)) * cast(r AS decimal(19,0)))"
+    scored = cut_up.select("lang", "k", F.concat_ws(" ", "left", "right").alias("phrase"), "a", "l", "r", "doc_id", F.expr(exact).alias("score"))
     weakest = F.row_number().over(Window.partitionBy("lang", "phrase").orderBy("score", "k"))
-    scored = scored.withColumn("_n", weakest).where("_n = 1")
-    longer = many.where("words = 3")
-    inside = longer.select("lang", "a", F.explode(F.array(part(1, 2), part(2, 2))).alias("phrase"))
-    inside = inside.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
-    kept = scored.join(inside, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < COVERED * F.col("a"), F.lit(True)))
+    kept = scored.withColumn("_n", weakest).where("_n = 1")
     return _first(kept, top).join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "doc_id")
 
 
