@@ -6,8 +6,9 @@ times a power of an odd factor, gives the polynomial fingerprint of every run of
 
 Fingerprints of pairs are counted first; the frequent ones leave their marks in a map of fixed size. Only triples both of whose
 pairs are marked are counted next, and marked likewise. A last pass reads the occurrences of marked fingerprints from the texts
-and counts them by their words, with a pointer to where one stands: fingerprints that collide are told apart there, marks that
-rare phrases share do no harm, and only frequent phrases are ever materialised.
+and counts them by their words: fingerprints that collide are told apart there, marks that rare phrases share do no harm, and
+only frequent phrases are ever materialised. The phrases of the result get a pointer to a document they stand in, found by their
+fingerprints likewise.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
@@ -172,9 +174,11 @@ def _counted(order: int, marks: Broadcast | None, size: int):
     return run
 
 
-def _read(marks: list[Broadcast], size: int):
-    """All words, and the marked pairs and triples, by their text; ``doc_id`` points to where one of them stands."""
-    names = ["lang", "words", "phrase", "n", "doc_id"]
+def _read(marks: list[Broadcast], size: int, pointers: bool = False):
+    """All words, and the marked pairs and triples, by their text: language, line break, phrase, with counts.
+
+    With ``pointers``: the pairs and triples only, with the least id of the documents they stand in.
+    """
     none = np.iinfo(np.int64).max
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,8 +186,7 @@ def _read(marks: list[Broadcast], size: int):
             langs = rows["lang"].combine_chunks().dictionary_encode()
             langs = langs.combine_chunks() if isinstance(langs, pa.ChunkedArray) else langs
             lang = langs.indices.to_numpy()
-            ids = rows["doc_id"].fill_null(none).to_numpy()
-            for order in (1, 2, 3):
+            for order in (2, 3) if pointers else (1, 2, 3):
                 first = words.runs(order)
                 for k in range(2, order + 1):
                     for at in range(order - k + 1):
@@ -191,12 +194,13 @@ def _read(marks: list[Broadcast], size: int):
                 found = words.phrases(first, order).dictionary_encode()
                 key = lang[words.text[first]].astype(np.int64) * max(len(found.dictionary), 1) + found.indices.to_numpy()
                 _, one, same, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-                least = np.full(len(one), none)
-                np.minimum.at(least, same, ids[words.text[first]])
-                text = words.text[first[one]]
                 phrases = found.take(pa.array(one)).cast(pa.large_binary()).cast(pa.large_string()).cast(pa.string())
-                cols = [langs.dictionary.take(pa.array(lang[text])), pa.array(np.full(len(one), order, np.int32)), phrases]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(n), pa.array(least, mask=least == none)], names)
+                name = langs.dictionary.take(pa.array(lang[words.text[first[one]]])).cast(pa.string())
+                names = pc.binary_join_element_wise(name, phrases, "\n")
+                if pointers:
+                    n = np.full(len(one), none)
+                    np.minimum.at(n, same, rows["doc_id"].fill_null(none).to_numpy()[words.text[first]])
+                yield pa.RecordBatch.from_arrays([names, pa.array(n, mask=n == none)], ["name", "n"])
 
     return run
 
@@ -213,26 +217,47 @@ def _marks(prints: DataFrame, least: int, bits: int) -> np.ndarray:
     return out
 
 
-def phrases(docs: DataFrame, least: int = LEAST, bits: int = MARKS, size: int = STRETCH) -> DataFrame:
-    """``lang``, ``words`` (1 to 3), ``phrase``, ``n`` (occurrences) and ``doc_id`` (the least one it stands in).
+def _given(docs: DataFrame) -> DataFrame:
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), whole_text().alias("text")).where("text <> ''")
 
-    Every word, and the runs of two and three words within a piece that occur at least ``least`` times in their language
-    (null: ``und``). A-Z are lower-cased; null text counts as empty; a null id is no pointer. Repeated rows count each time.
-    """
-    spark = docs.sparkSession
-    given = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), whole_text().alias("text")
-    )
-    texts = given.where("text <> ''")
+
+def _all_marks(texts: DataFrame, least: int, bits: int, size: int) -> list[Broadcast]:
+    """Marks of the pairs, and of the triples of such pairs."""
     marks: list[Broadcast] = []
     for order in (2, 3):
         prints = texts.select("lang", "text").mapInArrow(_counted(order, marks[-1] if marks else None, size), "print long, n long")
-        marks.append(spark.sparkContext.broadcast(_marks(prints, least, bits)))
-    rows = texts.mapInArrow(_read(marks, size), "lang string, words int, phrase string, n long, doc_id long")
-    found = rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"))
+        marks.append(texts.sparkSession.sparkContext.broadcast(_marks(prints, least, bits)))
+    return marks
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """``lang`` and ``phrase`` from ``name``: no phrase holds a line break, a language may."""
+    phrase = F.substring_index("name", "\n", -1)
+    lang = F.col("name").substr(F.lit(1), F.length("name") - F.length(phrase) - 1)
+    return rows.select(lang.alias("lang"), phrase.alias("phrase"), *(c for c in rows.columns if c != "name"))
+
+
+def phrases(docs: DataFrame, least: int = LEAST, bits: int = MARKS, size: int = STRETCH) -> DataFrame:
+    """``lang``, ``words`` (1 to 3), ``phrase`` and ``n`` (occurrences).
+
+    Every word, and the runs of two and three words within a piece that occur at least ``least`` times in their language
+    (null: ``und``). A-Z are lower-cased; null text counts as empty. Repeated rows count each time.
+    """
+    texts = _given(docs)
+    rows = texts.mapInArrow(_read(_all_marks(texts, least, bits, size), size), "name string, n long")
+    found = _named(rows.groupBy("name").agg(F.sum("n").alias("n"))).withColumn("words", F.size(F.split("phrase", " ")))
     return found.where((F.col("words") == 1) | (F.col("n") >= least))
 
 
+def pointed(docs: DataFrame, some: DataFrame, bits: int = MARKS, size: int = STRETCH) -> DataFrame:
+    """``some`` (``lang``, ``phrase``, ...) with ``doc_id``, the least id of the documents that hold the phrase (null: none)."""
+    marks = _all_marks(some.select("lang", F.col("phrase").alias("text")), 1, bits, size)
+    rows = _given(docs).mapInArrow(_read(marks, size, True), "name string, n long")
+    found = _named(rows.groupBy("name").agg(F.min("n").alias("doc_id")))
+    return some.join(found, ["lang", "phrase"], "left")
+
+
 def _first(ranked: DataFrame, top: int) -> DataFrame:
     """The first ``top`` rows of each language, with ``rank``; ranked in salted parts first, so no language is one task's work."""
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
@@ -255,7 +280,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     often = found.where(F.col("n") >= least)
     word = F.split("phrase", " ")
     part = lambda at, size: F.array_join(F.slice(word, at, size), " ")
-    many = often.where("words > 1").select("lang", "words", "phrase", F.col("n").alias("a"), "doc_id")
+    many = often.where("words > 1").select("lang", "words", "phrase", F.col("n").alias("a"))
     inside = many.where("words = 3").select("lang", "a", F.explode(F.array(part(1, 2), part(2, 2))).alias("phrase"))
     inside = inside.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     many = many.join(inside, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < COVERED * F.col("a"), F.lit(True)))
@@ -264,14 +289,15 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
         lambda k: F.struct(k.alias("k"), part(F.lit(1), k).alias("left"), part(k + 1, F.col("words") - k).alias("right")),
     )
     # From here on the two parts stand for the phrase.
-    cut_up = many.select("lang", "a", "doc_id", F.explode(cuts).alias("c")).select("lang", "a", "doc_id", "c.*")
+    cut_up = many.select("lang", "a", F.explode(cuts).alias("c")).select("lang", "a", "c.*")
     for side, name in (("left", "l"), ("right", "r")):
         cut_up = cut_up.join(often.select("lang", F.col("phrase").alias(side), F.col("n").alias(name)), ["lang", side])
     exact = f"(cast({SCALE} AS decimal(8,0)) * (cast(a AS decimal(15,0)) * cast(a AS decimal(15,0)))) div (cast(l AS decimal(19,0)) * cast(r AS decimal(19,0)))"
-    scored = cut_up.select("lang", "k", F.concat_ws(" ", "left", "right").alias("phrase"), "a", "l", "r", "doc_id", F.expr(exact).alias("score"))
+    scored = cut_up.select("lang", "k", F.concat_ws(" ", "left", "right").alias("phrase"), "a", "l", "r", F.expr(exact).alias("score"))
     weakest = F.row_number().over(Window.partitionBy("lang", "phrase").orderBy("score", "k"))
     kept = scored.withColumn("_n", weakest).where("_n = 1")
-    return _first(kept, top).join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "doc_id")
+    best = stored(_first(kept, top).join(total, "lang"), "collocations")
+    return pointed(docs, best).select("lang", "rank", "phrase", "a", "l", "r", "n", "score", "doc_id")
 
 
 def op11_collocations(spark, sf_dir: str) -> DataFrame:

@@ -100,10 +100,12 @@ def test_colliding_fingerprints_are_told_apart(monkeypatch):
     marks = np.zeros(1, np.uint64)
     marks[0] = 1 << (prints["print"][0] & 63)
     every = SimpleNamespace(value=marks)
-    got = {(r["words"], r["phrase"]): (r["n"], r["doc_id"]) for b in collocations._read([every, every], STRETCH)([batch]) for r in b.to_pylist()}
-    assert {p: n for (k, p), n in got.items() if k == 2} == {
-        "ab cd": (3, 0), "cd ef": (3, 0), "ab cx": (3, 0), "zz yy": (3, 0), "ab zz": (1, None), "ab qq": (1, None)
-    }
+    for pointers, known in ((False, {"cd": 3}), (True, {})):
+        read = collocations._read([every, every], STRETCH, pointers)
+        got = {r["name"]: r["n"] for b in read([batch]) for r in b.to_pylist()}
+        one, none = (0, None) if pointers else (3, 1)
+        pairs = {"ab cd": one, "cd ef": one, "ab cx": one, "zz yy": one, "ab zz": none, "ab qq": none}
+        assert {p: got[f"en\n{p}"] for p in pairs} == pairs and {w: got[f"en\n{w}"] for w in known} == known
 
 
 def test_parts_of_longer_phrases_are_dropped(spark):
