@@ -288,15 +288,22 @@ def backfill_windows(blocks: DataFrame, oldest, newest, now) -> DataFrame:
     )
 
 
+#: A backfill of more than so many days takes summaries of at least so many minutes.
+DEFAULT_PERIODS = ((90, 60), (31, 5), (7, 1))
+
+
 def default_period(span_minutes: Column) -> Column:
     """Least summary period, in minutes, for a backfill of some length."""
-    day = 1440
-    return (
-        F.when(span_minutes > 90 * day, 60)
-        .when(span_minutes > 31 * day, 5)
-        .when(span_minutes > 7 * day, 1)
-        .otherwise(0)
-    )
+    least = F.lit(0)
+    for days, period in reversed(DEFAULT_PERIODS):
+        least = F.when(span_minutes > days * 1440, period).otherwise(least)
+    return least
+
+
+def default_minutes(oldest, newest) -> int:
+    """``default_period`` of a known span."""
+    span = to_us(newest) // MINUTE - to_us(oldest) // MINUTE
+    return next((period for days, period in DEFAULT_PERIODS if span > days * 1440), 0)
 
 
 def period_minutes() -> Column:
@@ -412,6 +419,77 @@ def log_status(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def backfill_plan(
+    entities: DataFrame,
+    groups: DataFrame,
+    schedules: DataFrame,
+    queue: DataFrame,
+    windows: DataFrame,
+    servers: DataFrame,
+    server: int,
+    oldest,
+    newest,
+    now_utc,
+    steps: DataFrame,
+    started,
+    user_key: int,
+    pattern: str = "%",
+    min_period: int | None = None,
+    max_queue: int = MAX_QUEUE,
+) -> tuple[DataFrame, DataFrame]:
+    """A whole backfill: the requests to queue, and the status rows that record it.
+
+    Without ``min_period`` the span from ``oldest`` to ``newest`` decides it. ``steps`` says when (``at_ts``) the window
+    that starts at ``start_local`` was queued. The first row tells how many tags the server has, one row per window how
+    many requests it added, none included, and the last that the backfill completed or, if more than ``max_queue``
+    requests of the server are then queued, that it timed out.
+    """
+    if min_period is None:
+        min_period = default_minutes(oldest, newest)
+    requests = backfill_requests(
+        entities, groups, schedules, queue, windows, server, now_utc, min_period, pattern
+    )
+    added = requests.groupBy("mod_start_utc", "mod_end_utc").agg(F.count("*").alias("added"))
+    done = (
+        windows.withColumn("mod_start_utc", shift(F.col("start_utc"), milliseconds=1))
+        .withColumnRenamed("end_utc", "mod_end_utc")
+        .join(added, ["mod_start_utc", "mod_end_utc"], "left")
+        .join(steps.select("start_local", "at_ts"), "start_local")
+        .select("start_local", "end_local", "at_ts", F.coalesce("added", F.lit(0)).alias("added"))
+    )
+    own = servers.filter(F.col("server_key") == server).select("name")
+    of_server = entities.filter(F.col("server_key") == server).select("entity_key")
+    size = of_server.agg(F.count("*").alias("size")).join(own)
+    waiting = queue.join(of_server.distinct(), "entity_key", "left_semi").agg(F.count("*").alias("waiting"))
+    last = done.agg(F.max("at_ts").alias("at_ts"), F.sum("added").alias("sent")).join(waiting).join(own)
+
+    def text(column: Column) -> Column:
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+
+    def rows(some: DataFrame, kind: str, **parts: Column) -> DataFrame:
+        who = some.withColumn("user_key", F.lit(user_key))
+        opening = invocation_id(F.col("name"), ts_lit(started), min_period)
+        return status_rows(who, kind, F.lit(server), id=opening, **parts)
+
+    begin = rows(
+        size.withColumn("at_ts", ts_lit(started)),
+        "begin",
+        count=F.col("size"),
+        start=text(ts_lit(oldest)),
+        end=text(ts_lit(newest)),
+    )
+    each = rows(
+        done.join(own),
+        "added",
+        count=F.col("added"),
+        start=text(F.col("start_local")),
+        end=text(F.col("end_local")),
+    )
+    full = F.col("waiting") + F.col("sent") > max_queue
+    ended = [rows(last.filter(full if kind == "timed_out" else ~full), kind) for kind in ("timed_out", "completed")]
+    return requests, begin.unionByName(each).unionByName(ended[0]).unionByName(ended[1])
+
+
 def queue_by_execution(queue: DataFrame, server: int | None = None) -> DataFrame:
     """Queue entries, latest execution first, optionally of one server."""
     rows = queue if server is None else queue.filter(F.col("server_key") == server)

@@ -161,3 +161,35 @@ def test_queue_upkeep(queue):
     reset = {r.entity_key: (r.request_version, r.earliest_exec_utc) for r in rep.queue_due_now(queue, "2024-02-01", server=2).collect()}
     assert reset[3] == (0, t("2024-02-01")) and reset[1][1] == t("2024-01-01")
     assert {r.entity_key for r in rep.queue_purge(queue, "2024-01-03 00:01:00").collect()} == {2, 3}
+
+
+def test_backfill_plan_counts_what_it_adds(table, entities, groups):
+    schedules = table([(10, 1, "Hour"), (11, 5, "Minute")], schemas.REPLICATION_SCHEDULE)
+    windows = table(
+        [(t("2024-01-02"), t("2024-01-03"), t("2024-01-02"), t("2024-01-03")), (t("2024-01-01"), t("2024-01-02"), t("2024-01-01"), t("2024-01-02"))],
+        "start_local timestamp_ntz, end_local timestamp_ntz, start_utc timestamp_ntz, end_utc timestamp_ntz",
+    )
+    kind = "entity_key bigint, mod_start_utc timestamp_ntz, mod_end_utc timestamp_ntz"
+    queued = table([(e, t("2024-01-01 00:00:00.001"), t("2024-01-02")) for e in (100, 101, 102, 103)], kind)
+    steps = table([(t("2024-01-02"), t("2024-02-01 01:00")), (t("2024-01-01"), t("2024-02-01 02:00"))], "start_local timestamp_ntz, at_ts timestamp_ntz")
+    servers = table([(1, "tier2"), (2, "far")], schemas.REPLICATION_SERVER)
+
+    def planned(oldest, **kw):
+        requests, rows = rep.backfill_plan(
+            entities, groups, schedules, queued, windows, servers, 1, oldest, "2024-01-03", "2024-02-01", steps, "2024-02-01", 7, **kw
+        )
+        told = [r.content.removeprefix("2024-02-01 00:00:00 for 'tier2' ") for r in rows.orderBy("date_created", "content").collect()]
+        return requests.count(), told
+
+    begin = " Beginning backfill for 4 tags from '{} 00:00:00' to '2024-01-03 00:00:00'"
+    added = " Added {} items from {} 00:00:00 to {} 00:00:00"
+    # All of the first window are queued already, and it is recorded as none.
+    assert planned("2024-01-01") == (
+        4,
+        ["(all)" + begin.format("2024-01-01"), "(all)" + added.format(4, "2024-01-02", "2024-01-03"), "(all)" + added.format(0, "2024-01-01", "2024-01-02"), "(all) completed"],
+    )
+    # More than seven days take summaries of a minute, more than ninety those of an hour.
+    assert planned("2023-12-20")[1][0] == "(1+ min)" + begin.format("2023-12-20")
+    assert planned("2023-01-01")[0] == 1 and planned("2023-01-01")[1][1].startswith("(60+ min) Added 1 items")
+    assert planned("2023-01-01", min_period=0)[0] == 4
+    assert planned("2024-01-01", max_queue=7)[1][-1] == "(all) backfill timed out"
