@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,16 +39,23 @@ def ensure(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back on a temporary folder of this machine.
+    A local session without that setting uses a folder of its warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.gettempdir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/tagloom-{purpose}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder; what the session left there goes when it ends."""
+    context = spark.sparkContext
+    base = f"{shared_dir(spark)}/tagloom-{context.applicationId}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(base)
+    store = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        store.mkdirs(folder)
+        store.deleteOnExit(folder)
+    return f"{base}/{purpose}-{uuid.uuid4().hex}"
