@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.time import MS, between_ts, div, instant, micros
-from tagloom.plans.blocks import BLOCK_MS, block_of, in_order, runs
+from tagloom.plans.blocks import BLOCK_MS, block_of, in_order, runs, tree_neighbours
 from tagloom.plans.cycles import Cycles
 from tagloom.sources.history import good_value, in_range_us, live, scan_history
 
@@ -62,14 +62,12 @@ def cyclic(
         .groupBy("tag", "k")
         .agg(F.max_by("value", "us").alias("value"))
     )
-    by_cycle = Window.partitionBy("tag").orderBy("k")
-    stop = F.lead("k", 1, grid.count).over(by_cycle)
-    first = F.lag("k").over(by_cycle).isNull()
-    spans = last.select(
+    stop = F.coalesce("_next_first", F.lit(grid.count).cast("long"))
+    spans = tree_neighbours(last, ["tag"], F.col("k"), "k", {}, "k").select(
         "tag",
         "k",
         "value",
-        F.when(first, F.lit(0).cast("long")).otherwise(F.col("k")).alias("from_k"),
+        F.when(F.col("_opens"), F.lit(0).cast("long")).otherwise(F.col("k")).alias("from_k"),
         F.least(stop - 1, F.lit(grid.count - 1)).alias("to_k"),
     ).filter("from_k <= to_k")
     return spans.select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.time import MS, SECOND, as_datetime, div, instant, midnight, shift, ts_lit
-from tagloom.plans.blocks import BLOCK_MS, block_of, runs
+from tagloom.plans.blocks import BLOCK_MS, block_of, runs, tree_neighbours
 from tagloom.plans.cycles import Cycles
 from tagloom.session import ensure
 from tagloom.sources.history import bound_us, for_tags, in_range_us, samples_us, scan_history
@@ -120,11 +120,12 @@ def analog_summary(
     )
 
     # The value leaving a block holds until the tag's next sample or the end.
-    by_time = Window.partitionBy("tag").orderBy("last_us")
+    place = div(F.col("first_us") - F.lit(grid.start_us).cast("long"), min(block_ms * MS, grid.width_us))
+    known = bound.unionByName(blocks.drop("block"), allowMissingColumns=True)
     spans = (
-        bound.unionByName(blocks.drop("block"), allowMissingColumns=True)
-        .withColumn("until", F.lead("first_us", 1, grid.end_us).over(by_time))
-        .withColumn("opens_tag", F.lag("last_us").over(by_time).isNull())
+        tree_neighbours(known, ["tag"], place, "first_us", {}, "last_us")
+        .withColumn("until", F.coalesce("_next_first", F.lit(grid.end_us).cast("long")))
+        .withColumnRenamed("_opens", "opens_tag")
         .withColumn(
             "each",
             F.explode(

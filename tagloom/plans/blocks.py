@@ -162,51 +162,80 @@ def runs(
     return inner.drop("first_run").unionByName(merged)
 
 
-# Blocks ordered in one task when there is no key to tell tasks apart.
-BLOCKS_PER_STRETCH = 4096
-
+# Children of a node of the summary tree, and its levels above the rows. The nodes of the last level have one parent: with
+# hours for positions, two for each year, and for seconds of thirty years a quarter of a million.
+FAN, LEVELS = 4096, 1
+
+
+def tree_neighbours(
+    rows: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    first: str,
+    last: dict[str, tuple[Column, Column]],
+    order: str,
+) -> DataFrame:
+    """``rows`` with what the nearest other rows of their key hold, in order of the column ``order``.
 
-def _handed_on(per_block: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """What each block takes over: the last ``_last_i`` of earlier blocks as
-    ``_carry_i``, and the first time in a later one as ``_next_first``.
+    ``position`` numbers the rows' places and never falls as ``order`` rises. Adds ``_next_first``, the column ``first``
+    of the next row; ``_opens``, true for the first row; and for each ``name: (value, when)`` in ``last`` the latest value
+    before the row for which ``when`` holds.
 
-    Without keys, blocks are ordered in stretches, and the stretches, one row
-    for thousands of blocks, among themselves.
+    An up-sweep combines rows to nodes of FAN positions, and these again; a down-sweep then hands each node what comes
+    before and after it. Every window is partitioned by key and parent node, so a task orders at most one node's children
+    and a key with any share of the rows is never one task's work. Nodes of a level are FAN times fewer than those below.
     """
+    keys, names = list(keys), list(last)
+    level = rows.withColumn("_parent", floor_div(position, FAN)).select(
+        "*",
+        F.col(first).alias("_first"),
+        F.col(order).alias("_order"),
+        *[F.when(when, value).alias(f"_last_{n}") for n, (value, when) in last.items()],
+        *[F.when(when, F.col(order)).alias(f"_at_{n}") for n, (_, when) in last.items()],
+    )
+    levels = []
+    for k in range(LEVELS + 1):
+        # One shuffle, read both for the nodes and for those above them.
+        levels.append(level.repartition(*keys, "_parent"))
+        up = levels[-1].groupBy(*keys, "_parent").agg(
+            F.min("_first").alias("_first"),
+            F.min("_order").alias("_order"),
+            *[F.max_by(f"_last_{n}", f"_at_{n}").alias(f"_last_{n}") for n in names],
+            *[F.max(f"_at_{n}").alias(f"_at_{n}") for n in names],
+        )
+        parent = floor_div(F.col("_node"), FAN) if k < LEVELS - 1 else F.lit(0).cast("long")
+        level = up.withColumnRenamed("_parent", "_node").withColumn("_parent", parent)
 
-    def look(df: DataFrame, by: Sequence[str], order: str, names: Sequence[str]) -> DataFrame:
-        asc = Window.partitionBy(*by).orderBy(order)
+    def beside(df: DataFrame) -> DataFrame:
+        asc = Window.partitionBy(*keys, "_parent").orderBy("_order")
         before = asc.rowsBetween(Window.unboundedPreceding, -1)
         return df.select(
-            *by,
-            order,
-            F.lead("_first_us").over(asc).alias(names[0]),
-            *[
-                F.last(f"_last_{i}", ignorenulls=True).over(before).alias(names[i + 1])
-                for i in range(n)
-            ],
+            "*",
+            F.lead("_first").over(asc).alias("_next_first"),
+            F.lag("_order").over(asc).isNull().alias("_opens"),
+            # By time: values may be NULL where ``when`` holds.
+            *[F.last(F.when(F.col(f"_at_{n}").isNotNull(), F.struct(f"_last_{n}")), ignorenulls=True).over(before).alias(n) for n in names],
         )
 
-    taken = ["_next_first", *[f"_carry_{i}" for i in range(n)]]
-    if keys:
-        return look(per_block, keys, "_blk", taken)
-    near = [f"_near{c}" for c in taken]
-    far = [f"_far{c}" for c in taken]
-    staged = per_block.withColumn("_stretch", floor_div(F.col("_blk"), BLOCKS_PER_STRETCH))
-    per_stretch = staged.groupBy("_stretch").agg(
-        F.min("_first_us").alias("_first_us"),
-        *[
-            F.max_by(f"_last_{i}", F.when(F.col(f"_last_{i}").isNotNull(), F.col("_blk"))).alias(
-                f"_last_{i}"
+    handed = None
+    for k in range(LEVELS, -1, -1):
+        here = beside(levels[k])
+        if handed is not None:
+            above = handed.select(
+                *keys,
+                F.col("_node").alias("_parent"),
+                F.col("_next_first").alias("_next_above"),
+                F.col("_opens").alias("_opens_above"),
+                *[F.col(n).alias(f"_{n}_above") for n in names],
             )
-            for i in range(n)
-        ],
-    )
-    return (
-        look(staged, ["_stretch"], "_blk", near)
-        .join(look(per_stretch, [], "_stretch", far), "_stretch")
-        .select("_blk", *[F.coalesce(a, b).alias(c) for a, b, c in zip(near, far, taken)])
-    )
+            here = here.join(above, [*keys, "_parent"]).select(
+                *[c for c in here.columns if c not in ("_next_first", "_opens", *names)],
+                F.coalesce("_next_first", "_next_above").alias("_next_first"),
+                (F.col("_opens") & F.col("_opens_above")).alias("_opens"),
+                *[F.coalesce(F.col(n), F.col(f"_{n}_above")).alias(n) for n in names],
+            )
+        handed = here
+    return handed.select(*rows.columns, "_next_first", "_opens", *[F.col(f"{n}._last_{n}").alias(n) for n in names])
 
 
 def in_order(
@@ -243,7 +272,10 @@ def in_order(
             for i, c in enumerate(fill)
         ],
     )
-    carried = _handed_on(per_block, keys, len(fill))
+    carry = {f"_carry_{i}": (F.col(f"_last_{i}"), F.col(f"_last_{i}").isNotNull()) for i in range(len(fill))}
+    carried = tree_neighbours(per_block, keys, F.col("_blk"), "_first_us", carry, "_blk").select(
+        *part, F.col("_next_first"), *carry
+    )
     local = rows.select(
         *part,
         "us",

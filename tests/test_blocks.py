@@ -89,7 +89,7 @@ def test_one_state_across_many_blocks_is_one_run(frame, width):
 @pytest.mark.parametrize("width", WIDTHS)
 @pytest.mark.parametrize("keys", [("tag",), ()])
 def test_in_order(spark, monkeypatch, width, keys):
-    monkeypatch.setattr(blocks, "BLOCKS_PER_STRETCH", 5)
+    monkeypatch.setattr(blocks, "FAN", 5)
     rng = random.Random(9)
     rows = [
         (rng.choice("aab"), us, rng.choice([None, None, float(us)]), rng.choice([None, us]))
