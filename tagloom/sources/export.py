@@ -12,7 +12,7 @@ from tagloom.functions.time import ts_lit
 from tagloom.operators.retrieval import delta
 from tagloom.schemas import BOOKMARK
 from tagloom.sources.history import for_tags, in_time_zone, live, scan_history
-from tagloom.sources.state import read_version, versions, write_version
+from tagloom.sources.state import prune_versions, read_version, versions, write_version
 
 # Parts of the file format (fixed values): encoding, delimiter, original value,
 # engineering units, and the options after the origin: UTC, original values
@@ -116,9 +116,12 @@ def export_next(
 
     The first sample of the series counts as a change; in later slices a tag's
     last sample before the slice decides whether its first one is, so the
-    slices together hold the same lines whatever their width. The slice goes to
-    its own numbered folder and the bookmark moves last, so a failed export is
-    simply run again. Times are in ``time_zone`` on input and in UTC in the file.
+    slices together hold the same lines whatever their width. These samples are
+    handed from slice to slice beside the bookmark, so each slice reads its own
+    range of history alone; a tag listed later in a series begins with its first
+    slice. The slice goes to its own numbered folder and the bookmark moves last,
+    so a failed export is simply run again. Times are in ``time_zone`` on input
+    and in UTC in the file.
     """
     spark = df.sparkSession
     bookmark = read_version(spark, bookmark_path, BOOKMARK).first()
@@ -127,11 +130,17 @@ def export_next(
         return None
     utc = df if time_zone == "UTC" else in_time_zone(df, "UTC", source=time_zone)
     listed = for_tags(utc, tags)
-    rows = scan_history(listed, None, window.start, window.end, "(]")
+    columns = ["tag", "ts", "value", "quality"]
+    rows = scan_history(listed, None, window.start, window.end, "(]").select(*columns)
+    last_path = f"{bookmark_path}/last"
     if window.start > bookmark["start_ts"]:
-        before = live(scan_history(listed, None, bookmark["start_ts"], window.start, "(]"))
-        columns = ["tag", "ts", "value", "quality"]
-        rows = before.select(*columns).unionByName(rows.select(*columns))
+        if window.number - 1 in versions(spark, last_path):
+            before = read_version(spark, last_path, rows.schema, window.number)
+        else:  # a series begun before samples were handed on
+            before = live(scan_history(listed, None, bookmark["start_ts"], window.start, "(]"))
+        rows = for_tags(before, tags).select(*columns).unionByName(rows)
+    write_version(live(rows).select(*columns), last_path, window.number)
+    prune_versions(spark, last_path)
     changes = delta(rows).filter(F.col("ts") > ts_lit(window.start))
     counts = write_fastload(changes, f"{out_path}/export-{window.number:06d}", origin)
     moved = spark.createDataFrame(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.time import midnight
 from tagloom.operators import intervals, retrieval, summary
-from tagloom.sources import export, history
+from tagloom.sources import asof, export, history
 from tagloom.session import scratch_dir
 from tagloom.workload.registry import query, rounded, rounded_sql
 from tagloom.workload.sqltext import (
@@ -143,6 +143,35 @@ def _(t):
     return history.read_history(t.spark, folder).select("tag", "ts", "value", "quality")
 
 
+def _indexed(t):
+    """History in days with an index of every third day; its first half comes last, as late samples do."""
+    folder = scratch_dir(t.spark, "indexed")
+    middle = F.lit(midnight(MIDDLE))
+    for part in (F.col("ts") >= middle, F.col("ts") < middle):
+        asof.append_indexed(t.history.filter(part), f"{folder}/history", f"{folder}/index", every=3)
+    return asof.read_since(t.spark, f"{folder}/history", f"{folder}/index", LATE)
+
+
+LATE = "2024-01-27"
+LATE_HOURLY = summary_ctes("s", "history", f"{LATE} 00:00:00", E, HOUR_US)
+
+
+@query("as_of_summary", f"WITH {LATE_HOURLY} {select('s', SUMMARY_COLUMNS)}")
+def _(t):
+    """Hourly summaries of the last days, from these days and one link of the index."""
+    return rounded(summary.analog_summary(_indexed(t), LATE, END, summary.HOUR_MS))
+
+
+@query(
+    "as_of_start_bound",
+    f"""SELECT tag, TS'{LATE} 06:00:00' AS ts, value, quality, ts AS sampled_ts FROM history
+        WHERE ts <= TS'{LATE} 06:00:00'
+        QUALIFY row_number() OVER (PARTITION BY tag ORDER BY ts DESC) = 1""",
+)
+def _(t):
+    return history.start_bound(_indexed(t), f"{LATE} 06:00:00")
+
+
 # Retrieval modes
 
 

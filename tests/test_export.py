@@ -55,6 +55,23 @@ def test_lines_do_not_depend_on_the_slices(spark, hist, table, tmp_path, hours):
     assert lines == ["a5.0", "b0.0", "b1.0", "b2.0"]
 
 
+def test_a_slice_reads_no_earlier_history(spark, hist, table, tmp_path):
+    """Each slice gets its own rows only; the last ones before it come from the slice before."""
+    rows = [("a", 3600 * h, 5) for h in range(1, 72)] + [("b", 3600 * h, h // 30) for h in range(1, 72)]
+    paths = str(tmp_path / "bookmark"), str(tmp_path / "out")
+    export.set_bookmark(spark, paths[0], at(0), at(3600 * 72))
+    tags = table([("a",), ("b",)], "tag string")
+    for day in range(3):
+        own = [r for r in rows if day * 86400 < r[1] <= (day + 1) * 86400]
+        before = export.read_version(spark, paths[0], export.BOOKMARK).collect()
+        export.export_next(hist(own), tags, *paths)
+        if day == 1:  # as if the bookmark had not moved
+            export.write_version(spark.createDataFrame(before, export.BOOKMARK), paths[0], 90)
+            export.export_next(hist(own), tags, *paths)
+    lines = sorted(r.value.split("|")[0] + r.value.split("|")[5] for r in spark.read.text(f"{paths[1]}/export-*/data").collect())
+    assert lines == ["a5.0", "b0.0", "b1.0", "b2.0"]
+
+
 def test_export_converts_to_utc(spark, hist, table, tmp_path):
     export.set_bookmark(spark, str(tmp_path / "b"), at(0), at(86400))
     export.export_next(hist([("a", 3600, 1)]), table([("a",)], "tag string"), str(tmp_path / "b"), str(tmp_path / "o"), time_zone="America/New_York")
