@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tagloom.session import scratch_dir
 from tagloom.streaming import jobs
 from tagloom.workload import series
@@ -50,6 +52,31 @@ def _(t):
     return history.select("tag", "ts", "value", "quality")
 
 
+@query(
+    "stream_windowed_usage",
+    """SELECT time_bucket(INTERVAL 6 HOUR, ts) AS ts, count(DISTINCT user_id) AS active_users,
+              count(DISTINCT user_id % 100) AS active_nodes
+       FROM events GROUP BY 1
+       HAVING time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+)
+def _(t):
+    """Each event is a sight of its user; windows that the watermark has not passed are still open."""
+    folder = scratch_dir(t.spark, "windowed")
+    sessions = _stream(t, "events").select(
+        F.concat(F.lit("user"), "user_id").alias("user_name"),
+        F.concat(F.lit("10.0.0."), F.col("user_id") % 100).alias("ip"),
+        F.col("ts").alias("last_ts"),
+    )
+    counted = jobs.windowed_usage(sessions, rate_s=6 * 3600, delay="1 hour")
+    _run(
+        counted.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+    )
+    return t.spark.read.schema(counted.schema).parquet(f"{folder}/out")
+
+
 @query("stream_usage_rollup", MERGE)
 def _(t):
     folder = scratch_dir(t.spark, "rollup")

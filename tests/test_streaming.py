@@ -142,6 +142,29 @@ def test_windowed_usage(spark, feed, tmp_path):
     assert got[0] == (2, 2) and got[60] == (1, 1)
 
 
+def test_windowed_usage_is_exact_out_of_order(spark, feed, tmp_path):
+    """Rows repeat over batches and come late within the watermark; those beyond it and open windows are left out."""
+    rng = random.Random(4)
+    names = [None, *(f"u{k}" for k in range(6))]
+    rows = [(rng.choice(names), f"ip{rng.randrange(4)}", t) for t in rng.choices(range(0, 1800), k=300)]
+    rows.sort(key=lambda r: r[2] + rng.randrange(0, 290))
+    kind = "user_name string, ip string, last_ts timestamp_ntz"
+    parts = [rows[k : k + 60] for k in range(0, 300, 60)] + [[(None, None, 2000)], [("late", "late", 30)], [(None, None, 2400)]]
+    stream = feed([spark.createDataFrame([(u, p, at(s)) for u, p, s in part], kind) for part in parts], kind)
+    query = (
+        jobs.windowed_usage(stream, rate_s=120).writeStream.outputMode("append").format("memory").queryName("exactly")
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = {sec(r.ts): (r.active_users, r.active_nodes) for r in spark.table("exactly").collect()}
+    expected = {}
+    for w in sorted({s // 120 * 120 for _, _, s in rows} | {1920}):
+        if w + 120 <= 2400 - 300:
+            mine = [r for r in rows if r[2] // 120 * 120 == w]
+            expected[w] = (len({u for u, _, _ in mine} - {None}), len({p for _, p, _ in mine}))
+    assert got == expected and expected[1920] == (0, 0)
+
+
 def test_new_tags(spark, table, feed, tmp_path):
     schema = "tag string, tag_type int, acquisition_type int, raw_type int, created_by string"
     frames = [table([("x", 1, 0, 3, "me")], schema), table([("y", 2, 0, None, "me"), ("z", 5, 0, None, "me")], schema)]
