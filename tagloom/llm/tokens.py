@@ -1,17 +1,19 @@
 """Token ids of whole texts, by the tokenizers library, at the speed a corpus needs.
 
 A single space or line break between two printing characters always begins a new pre-token of a byte-level BPE with the usual
-pattern, so a text may be cut there without changing its ids. The pieces of a batch are told apart in C++ (Arrow's dictionary
+pattern, and so does punctuation after a letter, so a text may be cut there without changing its ids. The pieces of a batch are told apart in C++ (Arrow's dictionary
 encoding), the library encodes each distinct piece once, and the ids of the texts are gathered from these.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -20,6 +22,8 @@ from tagloom.llm.common import gathered, whole_text
 
 #: Text bytes handled at a time; a longer text is handled alone.
 SLICE = 12 << 20
+#: Pieces whose ids are kept from one stretch of text for the next, and the most bytes such a piece has.
+KEPT, KEPT_BYTES = 1 << 18, 32
 #: Bytes of distinct pieces given to the library at a time, and pieces gathered at a time.
 JOINED, GATHERED = 1 << 18, 1 << 18
 
@@ -33,16 +37,32 @@ def default_path() -> str:
 
 
 def cuts(data: np.ndarray) -> np.ndarray:
-    """Where pieces may begin within UTF-8 bytes: at a lone space or line break with a printing character on both sides.
+    """Where pieces may begin within UTF-8 bytes: at a lone space or line break with a printing character on both sides, and at
+    ASCII punctuation (no apostrophe, which begins contractions) after an ASCII letter.
 
     Printing means ASCII 0x21-0x7E or U+00C0-U+00FF (lead byte 0xC3); around any other character nothing is cut.
     """
     if len(data) < 4:
         return np.zeros(0, np.int64)
-    at = np.flatnonzero((data == _SPACE) | (data == _BREAK))
+    kind = _KINDS[data]
+    at = np.flatnonzero((kind == 1) | (kind == 3))
     at = at[(at >= 2) & (at < len(data) - 1)]
-    before, lead, after = data[at - 1], data[at - 2], data[at + 1]
-    return at[(_printing(before) | (before >= 0x80) & (lead == 0xC3)) & (_printing(after) | (after == 0xC3))]
+    before, lead, after, own = data[at - 1], data[at - 2], data[at + 1], kind[at]
+    space = (own == 1) & (_printing(before) | (before >= 0x80) & (lead == 0xC3)) & (_printing(after) | (after == 0xC3))
+    return at[space | (own == 3) & (kind[at - 1] == 2)]
+
+
+#: Of each byte: 1 a space or line break, 2 an ASCII letter, 3 ASCII punctuation but the apostrophe.
+_KINDS = np.array(
+    [1 if b in (_SPACE, _BREAK) else 2 if chr(b).isalpha() else 3 if 0x20 < b < 0x7F and not chr(b).isalnum() and b != 0x27 else 0 for b in range(128)]
+    + [0] * 128,
+    np.uint8,
+)
+
+
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of several runs, one run after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
 def _printing(x: np.ndarray) -> np.ndarray:
@@ -59,6 +79,9 @@ class Encoder:
         self.divisible = type(kind).__name__ == "ByteLevel" and kind.use_regex and not kind.add_prefix_space and self.library.normalizer is None
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         added = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        #: Strings that are one token wherever they stand: nothing is cut within them.
+        self.added = re.compile(b"|".join(re.escape(t.encode()) for t in sorted(added, key=len, reverse=True))) if added else None
+        self.kept = (pa.array([], pa.large_binary()), np.zeros(0, np.uint32), np.zeros(0, np.int64))
         self.size = max(vocabulary.values(), default=0) + 1
         self.bytes = np.zeros(self.size, np.int64)  # a byte-level token has one character for each byte
         for token, number in vocabulary.items():
@@ -110,6 +133,25 @@ class Encoder:
             flat[np.repeat(start[some] - (np.cumsum(each) - each), each) + np.arange(len(ids))] = ids
         return flat, count
 
+    def _remembered(self, pieces: pa.LargeBinaryArray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_distinct``; only pieces that were not kept are encoded. The commonest of these (by ``often``) are kept."""
+        at = pc.index_in(pieces, value_set=self.kept[0]).fill_null(-1).to_numpy()
+        new, old = np.flatnonzero(at < 0), np.flatnonzero(at >= 0)
+        fresh, fresh_length = self._distinct(pieces.take(pa.array(new)))
+        length = np.empty(len(pieces), np.int64)
+        length[new], length[old] = fresh_length, self.kept[2][at[old]]
+        start = np.cumsum(length) - length
+        flat = np.empty(length.sum(), np.uint32)
+        flat[_places(start[new], fresh_length)] = fresh
+        begin = np.cumsum(self.kept[2]) - self.kept[2]
+        flat[_places(start[old], length[old])] = self.kept[1][_places(begin[at[old]], length[old])]
+        size = pc.binary_length(pieces).to_numpy()
+        some = np.flatnonzero(size <= KEPT_BYTES)
+        if len(some) > KEPT:
+            some = some[np.argpartition(-often[some], KEPT)[:KEPT]]
+        self.kept = pieces.take(pa.array(some)), flat[_places(start[some], length[some])], length[some]
+        return flat, length
+
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's begin (with the end as last)."""
         n = len(texts)
@@ -120,15 +162,17 @@ class Encoder:
         data = np.frombuffer(texts.buffers()[2], np.uint8, last - first, first)
         begin = offsets - first
         border = np.zeros(len(data) + 1, bool)
-        border[begin] = True
         if self.divisible:
             border[cuts(data)] = True
+            for found in self.added.finditer(data) if self.added else ():
+                border[found.start() + 1 : found.end()] = False
+        border[begin] = True
         places = np.flatnonzero(border)
         del border
         array = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data)])
         array = array.dictionary_encode()
         of = array.indices.to_numpy()
-        flat, length = self._distinct(array.dictionary)
+        flat, length = self._remembered(array.dictionary, np.bincount(of, minlength=len(array.dictionary)))
         start = np.cumsum(length) - length
         ends = np.concatenate([[0], np.cumsum(length[of])])
         ids = np.empty(ends[-1], np.uint32)

@@ -126,3 +126,22 @@ def test_packing_messy_documents(messy):
     assert sum(p["length"] for p in pieces) == sum(map(len, expected_ids([r[:2] for r in MESSY], 0)))
     places = [(p["sequence_id"], p["offset"]) for p in pieces]
     assert len(set(places)) == len(places)
+
+
+@hyp(st.lists(st.lists(st.sampled_from([*"ab Z9é×÷.,'!s\n\t#-\"ß€<| ", "<|endoftext|>"]), max_size=40).map("".join), min_size=1, max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_cut_and_kept_pieces_have_the_ids_of_whole_texts(texts):
+    """One encoder over many batches, so that pieces kept from earlier ones are used."""
+    encoder = tokens.encoder(tokens.default_path())
+    ids, begin = encoder.encode(pa.array(texts, pa.large_string()))
+    for k, text in enumerate(texts):
+        assert ids[begin[k] : begin[k + 1]].tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.kept[0]) <= tokens.KEPT
+
+
+def test_few_pieces_are_kept(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT", 3)
+    encoder = tokens.Encoder(tokens.default_path())
+    for text in ["a b b b c c d d d d", "b d x y y y " * 3, ""]:
+        ids, _ = encoder.encode(pa.array([text], pa.large_string()))
+        assert ids.tolist() == encoder.library.encode(text, add_special_tokens=False).ids and len(encoder.kept[0]) <= 3
