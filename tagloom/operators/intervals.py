@@ -152,22 +152,30 @@ def threshold_extrema(
 Rule = tuple[str, str, float]
 
 
+#: So many rules are written into the plan; up to so many, some megabytes, are sent to every task as a table.
+RULES_INLINE, RULES_SENT = 64, 100_000
+
+
 def with_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Samples of the tags that have rules, once for each different rule.
 
-    The tags are filtered in the scan, and the rules are attached to each
-    sample from literals: no sample is shuffled or joined for it.
+    The tags are filtered in the scan. A few rules are attached to each sample
+    from literals. More are a table, so that the plan does not grow with their
+    number; up to RULES_SENT of them no sample is shuffled for the join.
     """
+    known = list(dict.fromkeys((t, op, float(x)) for t, op, x in rules))
+    listed = scan_history(df, list(dict.fromkeys(t for t, _, _ in known)))
+    if len(known) > RULES_INLINE:
+        table = df.sparkSession.createDataFrame(known, "tag string, op string, limit double")
+        if len(known) <= RULES_SENT:
+            table = F.broadcast(table)
+        return listed.join(table, "tag").select(*df.columns, "op", "limit")
     by_tag: dict[str, list] = {}
-    for tag, op, limit in dict.fromkeys((t, op, float(x)) for t, op, x in rules):
-        rule = F.struct(F.lit(op).alias("op"), F.lit(limit).alias("limit"))
-        by_tag.setdefault(tag, []).append(rule)
-    listed = scan_history(df, list(by_tag))
-    choice = F.lit(None)
+    for tag, op, limit in known:
+        by_tag.setdefault(tag, []).append(F.struct(F.lit(op).alias("op"), F.lit(limit).alias("limit")))
+    choice = F.lit(None).cast("array<struct<op:string,limit:double>>")
     for tag, its in by_tag.items():
         choice = F.when(F.col("tag") == tag, F.array(*its)).otherwise(choice)
-    if not by_tag:
-        choice = choice.cast("array<struct<op:string,limit:double>>")
     return listed.withColumn("_rule", F.explode(choice)).select("*", "_rule.op", "_rule.limit").drop("_rule")
 
 

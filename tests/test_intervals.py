@@ -111,3 +111,17 @@ def test_any_all(hist, width):
     assert (r.none_count, r.all_count, r.any_count) == (2, 1, 4)
     assert (r.change_count, r.not_final) == (7, 1)
     assert r.all_ms <= r.any_ms
+
+
+def test_thousands_of_rules(hist, monkeypatch):
+    rules = [(f"t{k}", op, float(k % 7)) for k in range(3000) for op in (">", "<=")] + [("t5", ">", 5.0)]
+    df = hist([(f"t{k}", s, k % 11) for k in range(2990, 3010) for s in (1, 2)])
+
+    def attached():
+        return sorted((r.tag, r.ts, r.value, r.op, r.limit) for r in intervals.with_rules(df, rules).collect())
+
+    got = attached()
+    assert len(got) == 10 * 2 * 2 and all(r[4] == int(r[0][1:]) % 7 for r in got)
+    monkeypatch.setattr(intervals, "RULES_SENT", 10)
+    assert attached() == got
+    assert intervals.with_rules(df, []).count() == 0
