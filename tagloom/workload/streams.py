@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.session import scratch_dir
-from tagloom.streaming import jobs
+from tagloom.streaming import jobs, stateful
 from tagloom.workload import series
 from tagloom.workload.registry import query
 from tagloom.workload.reports import MERGE, MISSING, REFRESH, excluded_tags, metrics_sql
+from tagloom.workload.sqltext import runs_ctes
 from tagloom.workload.tables import over
 
 
@@ -147,3 +148,54 @@ def _(t):
     return t.spark.read.parquet(f"{folder}/out").drop("batch")
 
 
+
+
+# What the watermark has not passed yet is still open: an hour of delay, slots of an hour.
+PASSED = "time_bucket(INTERVAL 1 HOUR, end_ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM history) - INTERVAL 1 HOUR"
+
+
+def _watched(t, build):
+    """All rows a stateful stream of the history gives, written by a file sink."""
+    folder = scratch_dir(t.spark, "watched")
+    found = build(over(_stream(t, "events"), "history", "events"))
+    _run(
+        found.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+    )
+    return t.spark.read.schema(found.schema).parquet(f"{folder}/out")
+
+
+@query(
+    "watch_incidents",
+    f"""WITH rules(tag, op, lim) AS (VALUES {series.RULES_SQL}),
+        r AS (SELECT h.tag, op, CAST(lim AS DOUBLE) AS lim, epoch_us(ts) AS us, value,
+                     coalesce(CASE op WHEN '>' THEN value > lim ELSE value < lim END, false) AS hot
+              FROM history h JOIN rules ON rules.tag = h.tag),
+        {runs_ctes("d", "r", "hot", "tag, op, lim")},
+        i AS (SELECT make_timestamp(us) AS start_ts, make_timestamp(end_us) AS end_ts, tag, op, lim AS "limit", value,
+                     (end_us - us) // 1000 AS duration_ms
+              FROM d WHERE hot)
+        SELECT * FROM i WHERE {PASSED}""",
+)
+def _(t):
+    return _watched(t, lambda samples: stateful.watch_incidents(samples, series.RULES, "1 hour", 3600))
+
+
+@query(
+    "watch_excursions",
+    f"""WITH r AS (SELECT tag, epoch_us(ts) AS us, CASE WHEN quality = 192 THEN value END AS v,
+                          CASE WHEN quality <> 192 THEN NULL WHEN value <= 15 THEN 'Min' WHEN value >= 60 THEN 'Max' END AS edge
+                   FROM history),
+        {runs_ctes("d", "r", "edge")},
+        m AS (SELECT tag, run, min(v) AS mn, min_by(us, (v, us)) AS mn_us, max(v) AS mx, min_by(us, (-v, us)) AS mx_us
+              FROM d_n WHERE edge IS NOT NULL GROUP BY tag, run),
+        e AS (SELECT make_timestamp(us) AS start_ts, make_timestamp(end_us) AS end_ts, tag, edge, mn AS minimum,
+                     make_timestamp(mn_us) AS min_ts, mx AS maximum, make_timestamp(mx_us) AS max_ts,
+                     end_us // 1000 - us // 1000 AS duration_ms, v AS value
+              FROM d JOIN m USING (tag, run))
+        SELECT * FROM e WHERE {PASSED}""",
+)
+def _(t):
+    return _watched(t, lambda samples: stateful.watch_excursions(samples, series.TAGS, 15.0, 60.0, "1 hour", 3600))
