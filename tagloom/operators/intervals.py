@@ -13,6 +13,7 @@ from tagloom.functions.time import MS, div, instant, micros, to_us
 from tagloom.operators.retrieval import since, wide_us
 from tagloom.operators.summary import statistics, weighted
 from tagloom.plans.blocks import BLOCK_MS, in_order, runs
+from tagloom.plans.ranges import SPLIT_ROWS, overlapping
 from tagloom.sources.history import good_value, in_range_us, scan_history
 
 
@@ -100,6 +101,47 @@ def slice_by(
     )
 
 
+def summarise_within(
+    df: DataFrame,
+    tags: Sequence[str],
+    spans: DataFrame,
+    start,
+    end,
+    block_ms: int = BLOCK_MS,
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """Summarise tags over given intervals, which may overlap each other: incidents, batches, shifts.
+
+    ``spans`` has ``start_ts``, ``end_ts`` (half-open) and any columns that tell intervals apart; equal rows count once. Values
+    in force when an interval begins count towards it. Values are known from ``start`` on; the last one of a tag holds until
+    ``end``. The result has the columns of ``spans``, ``tag`` and the statistics; an interval in which a tag has no sample
+    in force, or without an end, has no row for it. Besides the statistics, ``spans`` may have any column but ``tag``.
+    """
+    not_a_number = F.lit(float("nan"))
+    samples = in_range_us(scan_history(df, list(tags)), start, end).select("tag", "us", F.coalesce("value", not_a_number).alias("v"))
+    held = in_order(samples, ["v"], block_ms=block_ms).select(
+        "tag", F.col("us").alias("_us"), "v", F.coalesce("next_us", F.lit(to_us(end)).cast("long")).alias("_until")
+    )
+    known = spans.distinct().select("*", micros(F.col("start_ts")).alias("_from"), micros(F.col("end_ts")).alias("_to"))
+    pairs = overlapping(held, known, (), ("_us", "_until"), ("_from", "_to"), split_rows)
+    parts = pairs.select(
+        *spans.columns,
+        "tag",
+        "_from",
+        "_to",
+        (F.col("_us") >= F.col("_from")).alias("_inside"),
+        F.greatest("_us", "_from").alias("us"),
+        F.least("_until", "_to").alias("_end"),
+        F.when(~F.isnan("v"), F.col("v")).alias("_v"),
+    )
+    sums = parts.groupBy(*spans.columns, "tag", "_from", "_to").agg(
+        F.count_if("_inside").alias("samples"), *weighted(F.col("_v"), F.col("_end") - F.col("us"))
+    )
+    length = F.col("_to") - F.col("_from")
+    stats = statistics(length)
+    return sums.select(*spans.columns, "tag", *[c.alias(name) for name, c in stats.items()])
+
+
 def threshold_extrema(
     df: DataFrame,
     tag: str | Sequence[str],

@@ -225,11 +225,8 @@ def export_changes(
             rows.withColumn("us", micros(F.col("ts"))), ["value", "quality"], block_ms=block_ms
         )
         write_fastload(changes.filter("NOT old"), f"{out_path}/export-{n:06d}", origin)
-        newest = rows.groupBy("tag").agg(
-            F.max("ts").alias("ts"),
-            F.max_by("value", "ts").alias("value"),
-            F.max_by("quality", "ts").alias("quality"),
-        )
+        # One struct, so that of several rows at one instant value and quality stay together.
+        newest = rows.groupBy("tag").agg(F.max(F.struct("ts", "value", "quality")).alias("last")).select("tag", "last.*")
         write_version(newest, state_path, n)
         prune_versions(spark, state_path)
 

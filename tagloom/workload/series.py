@@ -503,3 +503,32 @@ def _(t):
 )
 def _(t):
     return intervals.any_all(t.discrete, TAGS, START, END)
+
+
+STATISTICS = ["minimum", "min_ts", "maximum", "max_ts", "average", "std_dev", "integral", "value_count", "percent_good"]
+
+
+@query(
+    "within_incidents",
+    f"""WITH i AS (SELECT tag AS incident_tag, start_ts, end_ts, duration_ms, epoch_us(start_ts) AS f, epoch_us(end_ts) AS t
+                   FROM ({_incidents_sql(RULES_SQL, closed=True)})),
+        {bounded_rows("b", "history", S, E)},
+        s AS (SELECT tag, us, v, coalesce(lead(us) OVER (PARTITION BY tag ORDER BY us), epoch_us(TS'{E}')) AS until FROM b),
+        p AS (SELECT i.*, s.tag, greatest(s.us, f) AS a, least(until, t) AS z, v, CASE WHEN s.us >= f THEN 1 ELSE 0 END AS own
+              FROM i JOIN s ON s.us < i.t AND s.until > i.f AND s.until > s.us),
+        g AS (SELECT incident_tag, start_ts, end_ts, duration_ms, f, t, tag, min(v) AS minimum, min_by(a, (v, a)) FILTER (v IS NOT NULL) AS mn_us,
+                     max(v) AS maximum, min_by(a, (-v, a)) FILTER (v IS NOT NULL) AS mx_us, sum(own) AS n,
+                     sum(CASE WHEN v IS NOT NULL THEN z - a END) AS w,
+                     sum(v * ((z - a) / 1e6)) AS area, sum(v * v * ((z - a) / 1e6)) AS area2
+              FROM p GROUP BY ALL),
+        q AS (SELECT *, make_timestamp(mn_us) AS min_ts, make_timestamp(mx_us) AS max_ts, area / (w / 1e6) AS average,
+                     CASE WHEN w > 0 THEN sqrt(greatest(area2 / (w / 1e6) - (area / (w / 1e6)) * (area / (w / 1e6)), 0)) END AS std_dev,
+                     area AS integral, CAST(n AS BIGINT) AS value_count, coalesce(w, 0) * 100.0 / (t - f) AS percent_good
+              FROM g)
+        {select("q", ["incident_tag", "start_ts", "end_ts", "duration_ms", "tag", *STATISTICS])}""",
+)
+def _(t):
+    """What every tag did while any limit was broken; incidents of several tags overlap."""
+    broken = intervals.incidents(t.history, RULES, START, END).filter("end_ts IS NOT NULL")
+    spans = broken.select(F.col("tag").alias("incident_tag"), "start_ts", "end_ts", "duration_ms")
+    return rounded(intervals.summarise_within(t.history, TAGS, spans, START, END))
