@@ -88,24 +88,32 @@ def analog_summary(
         F.when(F.col("carried"), 0).otherwise(1).cast("long").alias("samples"),
     )
 
-    order = Window.partitionBy(*part).orderBy("us")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inside = (
         samples_us(df, start, end, "()")
         .withColumn("cycle", grid.index(F.col("us")))
         .withColumn("block", block_of(F.col("us") - begin, block_ms))
-        .select(
-            *part,
-            "us",
-            "value",
-            (F.lead("us").over(order) - F.col("us")).alias("held_us"),
-            F.min("value").over(whole).alias("low"),
-            F.max("value").over(whole).alias("high"),
-        )
+    )
+    return _of_blocks(bound, block_sums(inside, part).drop("block"), grid, block_ms)
+
+
+def block_sums(inside: DataFrame, part: Sequence[str]) -> DataFrame:
+    """The samples of each block combined: sums up to its last sample, and that sample, whose value goes on from there.
+
+    Such rows can be kept instead of samples: what a summary needs besides is only which row comes next.
+    """
+    order = Window.partitionBy(*part).orderBy("us")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inside = inside.select(
+        *part,
+        "us",
+        "value",
+        (F.lead("us").over(order) - F.col("us")).alias("held_us"),
+        F.min("value").over(whole).alias("low"),
+        F.max("value").over(whole).alias("high"),
     )
     # Plain columns only, so that the sums are kept in a hash table.
     held_s = F.col("held_us") / F.lit(float(SECOND))
-    blocks = inside.groupBy(*part).agg(
+    return inside.groupBy(*part).agg(
         F.min("us").alias("first_us"),
         F.max("us").alias("last_us"),
         F.max_by("value", "us").alias("last_value"),
@@ -119,9 +127,46 @@ def analog_summary(
         F.min(F.when(F.col("value") == F.col("high"), F.col("us"))).alias("high_us"),
     )
 
+
+def summary_of_states(states: DataFrame, start, end, resolution_ms: int) -> DataFrame:
+    """``analog_summary`` from the sums kept per tag and hour (see ``sources.states``) instead of samples.
+
+    ``start``, ``end`` and the resolution must be whole hours.
+    """
+    ensure(states.sparkSession)
+    grid = Cycles.of(start, end, resolution_ms)
+    if any(us % (HOUR_MS * MS) for us in (grid.start_us, grid.end_us, grid.width_us)):
+        raise ValueError("sums are kept per hour")
+    first, last = grid.start_us // (HOUR_MS * MS), grid.end_us // (HOUR_MS * MS)
+    sums = [c for c in states.columns if c not in ("day", "hour")]
+    blocks = states.filter(F.col("hour").between(first, last - 1)).select(
+        F.lit(0).cast("long").alias("cycle"), *sums
+    ).withColumn("cycle", grid.index(F.col("first_us")))
+    # A tag with a sample at the start itself has its value in force from that.
+    fresh = blocks.filter(F.col("first_us") == grid.start_us).select("tag")
+    bound = (
+        states.filter(F.col("hour") < first)
+        .groupBy("tag")
+        .agg(F.max_by("last_value", "last_us").alias("last_value"))
+        .join(fresh, "tag", "left_anti")
+        .select(
+            "tag",
+            F.lit(0).cast("long").alias("cycle"),
+            F.lit(grid.start_us).cast("long").alias("first_us"),
+            F.lit(grid.start_us).cast("long").alias("last_us"),
+            "last_value",
+            F.lit(0).cast("long").alias("samples"),
+        )
+    )
+    return _of_blocks(bound, blocks, grid, HOUR_MS)
+
+
+def _of_blocks(bound: DataFrame, blocks: DataFrame, grid: Cycles, block_ms: int) -> DataFrame:
+    """Cycle statistics from the values in force at the start and the sums of blocks that each lie in one cycle."""
+    begin = grid.begin(F.col("cycle"))
     # The value leaving a block holds until the tag's next sample or the end.
     place = div(F.col("first_us") - F.lit(grid.start_us).cast("long"), min(block_ms * MS, grid.width_us))
-    known = bound.unionByName(blocks.drop("block"), allowMissingColumns=True)
+    known = bound.unionByName(blocks, allowMissingColumns=True)
     spans = (
         tree_neighbours(known, ["tag"], place, "first_us", {}, "last_us")
         .withColumn("until", F.coalesce("_next_first", F.lit(grid.end_us).cast("long")))
@@ -267,9 +312,14 @@ def state_summary_filled(
 
 
 def hour_of_day(
-    df: DataFrame, now, days: int = 30, mode: str = "rolling", block_ms: int = BLOCK_MS
+    df: DataFrame | None,
+    now,
+    days: int = 30,
+    mode: str = "rolling",
+    block_ms: int = BLOCK_MS,
+    states: DataFrame | None = None,
 ) -> DataFrame:
-    """Statistics per tag and hour of day over hourly summaries.
+    """Statistics per tag and hour of day over hourly summaries, of samples or of the ``states`` kept of them.
 
     The range runs from ``days`` before next midnight up to the last whole hour
     before ``now``. ``rolling`` labels an hour with its latest start;
@@ -280,7 +330,10 @@ def hour_of_day(
     next_midnight = midnight(now, 1)
     start = midnight(now, 1 - days)
     last_hour = as_datetime(now).replace(minute=0, second=0, microsecond=0)
-    hourly = analog_summary(df, start, last_hour, resolution_ms=HOUR_MS, block_ms=block_ms)
+    if states is None:
+        hourly = analog_summary(df, start, last_hour, resolution_ms=HOUR_MS, block_ms=block_ms)
+    else:
+        hourly = summary_of_states(states, start, last_hour, HOUR_MS)
     label = (
         F.max("start_ts")
         if mode == "rolling"
@@ -339,13 +392,20 @@ def resource_report(
 
 
 def daily_load(
-    df: DataFrame, tags: Sequence[str], now, days: int = 30, block_ms: int = BLOCK_MS
+    df: DataFrame | None,
+    tags: Sequence[str],
+    now,
+    days: int = 30,
+    block_ms: int = BLOCK_MS,
+    states: DataFrame | None = None,
 ) -> DataFrame:
     """Daily average, deviation, maximum and percent good of some tags over the
-    ``days`` before the last midnight."""
-    summary = analog_summary(
-        scan_history(df, tags), midnight(now, -days), midnight(now), DAY_MS, block_ms=block_ms
-    )
+    ``days`` before the last midnight, from samples or from the ``states`` kept of them."""
+    start, end = midnight(now, -days), midnight(now)
+    if states is None:
+        summary = analog_summary(scan_history(df, tags), start, end, DAY_MS, block_ms=block_ms)
+    else:
+        summary = summary_of_states(scan_history(states, tags), start, end, DAY_MS)
     return summary.select(
         "tag", "start_ts", "average", "std_dev", "maximum", "percent_good"
     ).orderBy("tag", "start_ts")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.time import midnight
 from tagloom.operators import intervals, retrieval, summary
-from tagloom.sources import asof, export, history
+from tagloom.sources import asof, export, history, states
 from tagloom.session import scratch_dir
 from tagloom.workload.registry import query, rounded, rounded_sql
 from tagloom.workload.sqltext import (
@@ -336,6 +336,17 @@ def _(t):
     return rounded(summary.hour_of_day(t.history, NOW, mode="fixed"))
 
 
+@query("hour_of_day_stored", _hour_of_day_sql("max(start_ts)"))
+def _(t):
+    """The rolling profile from kept states, some of whose samples came late."""
+    folder = scratch_dir(t.spark, "states")
+    late = F.second("ts") % 10 == 0
+    for some in (~late, late):
+        states.append_with_states(t.history.filter(some), f"{folder}/history", f"{folder}/states")
+    kept = states.read_states(t.spark, f"{folder}/history", f"{folder}/states")
+    return rounded(summary.hour_of_day(None, NOW, states=kept))
+
+
 @query(
     "resource_report",
     f"""WITH {FULL}, {ALL_STATES}
