@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagloom.llm.common import gathered, lookup, stored, without, whole_text
+from tagloom.llm.common import gathered, lean, lookup, stored, without, whole_text
 
 #: Distinct texts of a bucket before it is split.
 BUCKET_ROWS = 20_000
@@ -156,10 +156,10 @@ def build_index(docs: DataFrame, capacity: int = BUCKET_ROWS) -> DataFrame:
     given = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), F.xxhash64(whole_text()).alias("_key")
     )
-    texts = given.mapInArrow(_combined(grown), _TEXTS)
+    texts = given.mapInArrow(lean(_combined(grown)), _TEXTS)
     # Signed keys order like unsigned ones within a bucket, unless the bucket holds both halves; equal keys meet anyway.
     owners = texts.repartition("bucket").sortWithinPartitions("bucket", "key")
-    return stored(owners.mapInArrow(_chained, _INDEX), "exact-index")
+    return stored(owners.mapInArrow(lean(_chained), _INDEX), "exact-index")
 
 
 def mark(docs: DataFrame, capacity: int = BUCKET_ROWS) -> DataFrame:

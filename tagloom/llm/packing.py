@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagloom.llm import tokens
-from tagloom.llm.common import shuffle_partitions, stored
+from tagloom.llm.common import lean, shuffle_partitions, stored
 
 LENGTH = 1024
 END_ID = 0
@@ -243,7 +243,7 @@ def pack(docs: DataFrame, length: int = LENGTH, end: int = END_ID, grain: int =
     before = Window.partitionBy("rest_sequence").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("rest_offset", F.coalesce(F.sum("rest").over(before), F.lit(0)))
     together = ids.join(placed, "key").select("doc_id", "n_tokens", "ids", "rest", "whole_sequence", "rest_sequence", "rest_offset")
-    return together.mapInArrow(_pieces(size, length), _PIECES)
+    return together.mapInArrow(lean(_pieces(size, length)), _PIECES)
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:

@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tagloom.llm.common import gathered, whole_text
+from tagloom.llm.common import gathered, lean, whole_text
 
-#: Text bytes handled at a time; a longer text is handled alone.
-SLICE = 12 << 20
+#: Text bytes handled at a time; a longer text is handled alone. A worker takes about twelve times this beside its rows.
+SLICE = 6 << 20
 #: Pieces whose ids are kept from one stretch of text for the next, and the most bytes such a piece has.
 KEPT, KEPT_BYTES = 1 << 18, 32
 #: Bytes of distinct pieces given to the library at a time, and pieces gathered at a time.
@@ -235,7 +235,7 @@ def tokenized(docs: DataFrame, end: int, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` (little-endian, ``width`` bytes each) of every row; ``end`` closes each text."""
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     schema = "doc_id long, n_tokens long, ids binary"
-    return given.mapInArrow(_encoded(path, end, width(path, end) == 2), schema)
+    return given.mapInArrow(lean(_encoded(path, end, width(path, end) == 2)), schema)
 
 
 def as_ids(column: pa.Array, size: int) -> np.ndarray:

@@ -9,7 +9,7 @@ from hypothesis import settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tagloom.llm import packing, token_files, tokens
+from tagloom.llm import common, packing, token_files, tokens
 
 from .conftest import MESSY
 
@@ -145,3 +145,25 @@ def test_few_pieces_are_kept(monkeypatch):
     for text in ["a b b b c c d d d d", "b d x y y y " * 3, ""]:
         ids, _ = encoder.encode(pa.array([text], pa.large_string()))
         assert ids.tolist() == encoder.library.encode(text, add_special_tokens=False).ids and len(encoder.kept[0]) <= 3
+
+
+def test_a_stretch_of_text_bounds_a_worker(monkeypatch):
+    """What the encoder is given at once is at most 6 MB, and what it used goes back to the system when a task's rows are done."""
+    seen, given_back = [], []
+
+    class Plain:
+        size = 100
+
+        def encode(self, texts):
+            seen.append(texts.nbytes)
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+
+    class Pool:
+        def release_unused(self):
+            given_back.append(len(seen))
+
+    monkeypatch.setattr(tokens, "encoder", lambda path: Plain())
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(1000)), "text": pa.array(["x" * 10_000] * 1000)})
+    rows = sum(b.num_rows for b in common.lean(tokens._encoded("", 0, True))(iter([batch, batch])))
+    assert rows == 2000 and max(seen) < 6.1 * 2**20 and given_back == [len(seen)]
