@@ -84,21 +84,22 @@ def chart_parts(
     Nothing is gathered, so a chart may have any number of parts. To write
     them in order, sort by chart_type, chart_key, section_no, item.
     """
-    key = F.col("chart_key")
     kinds = charts.select("chart_key", "chart_type")
-    owned = charts.join(users, charts["owner_key"] == users["user_key"], "left")
+    owned = charts.drop("chart_type").join(users, charts["owner_key"] == users["user_key"], "left")
     urls = charts.select(F.col("chart_key").alias("member_key"), "url")
 
     def section(df: DataFrame, name: str, item: str, *columns) -> DataFrame:
-        return df.select(
-            key,
+        # The given columns are shuffled; the text is made from them after the join.
+        return df.join(kinds, "chart_key").select(
+            "chart_type",
+            "chart_key",
             F.lit(SECTIONS.index(name)).alias("section_no"),
             F.lit(name).alias("section"),
             F.col(item).cast("string").alias("item"),
             F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("content"),
         )
 
-    parts = (
+    return (
         section(owned, "chart", "name", "name", "url", F.col("user_name").alias("owner"))
         .unionByName(section(keywords, "keyword", "keyword", "keyword"))
         .unionByName(
@@ -113,9 +114,6 @@ def chart_parts(
             section(dashboards.join(urls, "member_key"), "dashboard", "url", "url", "position")
         )
     )
-    return parts.join(kinds, "chart_key").select(
-        "chart_type", "chart_key", "section_no", "section", "item", "content"
-    )
 
 
 def tz_report(df: DataFrame, tz: str, standard_offset_min: int, ts: str = "ts") -> DataFrame:

@@ -96,3 +96,17 @@ def test_renamed_items_without_a_file_are_dirty(table):
     items = table([(None, "old", "t"), (None, "other", "u")], "file string, server string, tag string")
     got = {r.tag: (r.server, r.changed, r.dirty) for r in audit.rename_server(items, "OLD", "new").collect()}
     assert got == {"t": ("new", True, True), "u": ("other", False, False)}
+
+
+def test_chart_parts_shuffles_no_text(spark, table):
+    """The JSON of a part is made after the joins, so that it is never shuffled."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = audit.chart_parts(*charts(table))._jdf.queryExecution().analyzed().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    made = [i for i, line in enumerate(plan) if "to_json" in line]
+    assert len(made) == 5
+    # No join above (less indented, before) any of them.
+    assert not any("Join" in plan[i] and depth[i] < depth[m] for m in made for i in range(m))
