@@ -82,6 +82,8 @@ def overlapping(
         .filter(F.col("_parts") > split_rows)
         .withColumn("_parts", F.ceil(F.col("_parts") / split_rows).cast("int"))
     )
+    # One row per split_rows entered at most, so it is sent to the tasks and neither side is shuffled for it.
+    many = F.broadcast(many)
     parts = F.coalesce("_parts", F.lit(1))
     ours = ours.join(many, place, "left").withColumn("_part", F.pmod(F.xxhash64("_l_begin", "_l_until"), parts).cast("int"))
     theirs = theirs.join(many, place, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))

@@ -84,3 +84,15 @@ def test_slices_are_a_case_of_intervals(hist):
 def test_no_history(spark, table):
     within = table([("x", at(0), at(8))], "name string, start_ts timestamp_ntz, end_ts timestamp_ntz")
     assert intervals.summarise_within(spark.createDataFrame([], HISTORY), ["t"], within, at(0), at(9)).count() == 0
+
+
+def test_no_side_is_shuffled_for_the_counts(spark, table):
+    """The few nodes that are dealt are sent to the tasks whatever Spark expects of their number."""
+    left = table(spans(1, 20), "k string, i int, us long, until_us long")
+    right = table(spans(2, 20), "k string, j int, from_us long, to_us long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ranges.overlapping(left, right, ["k"])._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
