@@ -119,7 +119,7 @@ def export_next(
     slices together hold the same lines whatever their width. These samples are
     handed from slice to slice beside the bookmark, so each slice reads its own
     range of history alone; a tag listed later in a series begins with its first
-    slice. The slice goes to its own numbered folder and the bookmark moves last,
+    slice. The slice is read once and held, on disk where memory ends. It goes to its own numbered folder and the bookmark moves last,
     so a failed export is simply run again. Times are in ``time_zone`` on input
     and in UTC in the file.
     """
@@ -139,10 +139,14 @@ def export_next(
         else:  # a series begun before samples were handed on
             before = live(scan_history(listed, None, bookmark["start_ts"], window.start, "(]"))
         rows = for_tags(before, tags).select(*columns).unionByName(rows)
-    write_version(live(rows).select(*columns), last_path, window.number)
-    prune_versions(spark, last_path)
-    changes = delta(rows).filter(F.col("ts") > ts_lit(window.start))
-    counts = write_fastload(changes, f"{out_path}/export-{window.number:06d}", origin)
+    rows = rows.persist()  # one look for the slice in the history, for what is handed on and for the changes
+    try:
+        write_version(live(rows).select(*columns), last_path, window.number)
+        prune_versions(spark, last_path)
+        changes = delta(rows).filter(F.col("ts") > ts_lit(window.start))
+        counts = write_fastload(changes, f"{out_path}/export-{window.number:06d}", origin)
+    finally:
+        rows.unpersist()
     moved = spark.createDataFrame(
         [
             (

@@ -127,3 +127,19 @@ def test_shared_dir_is_never_local_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Session())
+
+
+def test_a_slice_reads_the_history_once(spark, hist, table, tmp_path):
+    """What is handed on and the changes come from one look at the history."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = hist([("a", 60 * k, k) for k in range(1, 11)]).mapInArrow(counted, schemas.HISTORY)
+    paths = str(tmp_path / "bookmark"), str(tmp_path / "out")
+    export.set_bookmark(spark, paths[0], at(0), at(3600))
+    assert export.export_next(df, table([("a",)], "tag string"), *paths)[1] == {"written": 10, "dropped": 0}
+    assert seen.value == 10
