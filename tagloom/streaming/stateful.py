@@ -2,9 +2,11 @@
 
 Two stateful steps. The first is Spark's own window aggregation: the samples of each tag (and rule) are gathered per time slot,
 sorted once the watermark has passed the slot, and reduced there to the stretches of equal state that a slot consists of. The
-second, a ``transformWithState`` processor keyed by tag and rule, joins the stretches of successive slots. It sees a few rows
-per slot instead of every sample, and because a slot is handed on only when it is final, it needs no buffer: its state is the
-stretch a key is in. So a busy tag costs its slots, which are spread over all tasks, and one small row of state.
+second, a ``transformWithState`` processor keyed by tag and rule, joins the stretches of successive slots. Of each slot it needs
+the first and the last stretch and where the second begins, and because a slot is handed on only when it is final, it needs no
+buffer: its state is the stretch a key is in. The stretches between are final; they pass by the same step in groups of at most
+``GROUP``, each under a key of its own that keeps no state, because Spark holds in Python what one key gives at a time. So a
+busy tag costs its slots, which are spread over all tasks, a few values of each in one task, and one small row of state.
 
 The results are those of the batch operators over the same samples, whatever the order in which they arrive within ``delay``.
 Samples later than that are dropped and counted by Spark as ``numRowsDroppedByWatermark``. What the watermark has not
@@ -29,6 +31,8 @@ STRETCH = "us bigint, {}value double, low double, low_us bigint, high double, hi
 OPEN = f"state string, {STRETCH.format('last_us bigint, ')}"
 GIVEN = ["state", "us", "end_us", "value", "low", "low_us", "high", "high_us"]
 FIELDS = ["state", "us", "last_us", "value", "low", "low_us", "high", "high_us"]
+#: Stretches within a slot that pass through Python at a time.
+GROUP = 256
 
 
 def _slots(samples: DataFrame, keys: list[str], value: Column, state: Column, delay: str, slot_s: int) -> DataFrame:
@@ -62,11 +66,26 @@ def _pieces(slots: DataFrame, keys: Sequence[str], silence_us: int | None) -> Da
         'state', p[0].state, 'us', p[0].us, 'last_us', p[size(p) - 1].us, 'value', p[0].value,
         'lowest', array_min(transform(p, x -> named_struct('v', x.value, 'us', x.us))),
         'highest', array_max(transform(p, x -> named_struct('v', x.value, 'us', -x.us)))))"""
+    silent = f"get(pieces, j + 1).us - get(pieces, j).last_us > {silence_us}" if silence_us else "false"
+    # Of a slot the first stretch, the second as the end of the first, and the last. Those between are whole: they take
+    # ``last_us`` to the processor as their end.
+    edges = """CASE WHEN size(pieces) < 3 THEN pieces ELSE array(
+        pieces[0], named_struct('state', CAST(NULL AS STRING), 'us', pieces[1].us, 'last_us', pieces[1].last_us,
+                                'value', pieces[1].value, 'lowest', pieces[1].lowest, 'highest', pieces[1].highest),
+        element_at(pieces, -1)) END"""
+    whole = f"""transform(
+        filter(sequence(1, greatest(size(pieces) - 2, 1)), j -> j < size(pieces) - 1 AND get(pieces, j).state IS NOT NULL),
+        j -> named_struct('state', get(pieces, j).state, 'us', get(pieces, j).us,
+                          'last_us', CASE WHEN NOT ({silent}) THEN get(pieces, j + 1).us END, 'value', get(pieces, j).value,
+                          'lowest', get(pieces, j).lowest, 'highest', get(pieces, j).highest))"""
+    groups = f"""concat(array(named_struct('_group', CAST(NULL AS BIGINT), 'some', edges)),
+        transform(filter(sequence(0, size(whole) DIV {GROUP}), g -> g * {GROUP} < size(whole)),
+                  g -> named_struct('_group', xxhash64(slot, g), 'some', slice(whole, g * {GROUP} + 1, {GROUP}))))"""
     # One array per field: nested rows would reach Python as dictionaries.
     fields = {"low": "lowest.v", "low_us": "lowest.us", "high": "highest.v", "high_us": "highest.us"}
-    return cut.withColumn("pieces", F.expr(piece)).select(
-        F.window_time("slot").alias("slot_ts"), *keys, *[F.col(f"pieces.{fields.get(f, f)}").alias(f) for f in FIELDS]
-    )
+    found = cut.withColumn("pieces", F.expr(piece)).withColumn("edges", F.expr(edges)).withColumn("whole", F.expr(whole))
+    grouped = found.select(F.window_time("slot").alias("slot_ts"), *keys, F.explode(F.expr(groups)).alias("g"))
+    return grouped.select("slot_ts", *keys, "g._group", *[F.col(f"g.some.{fields.get(f, f)}").alias(f) for f in FIELDS])
 
 
 class _Stretches(StatefulProcessor):
@@ -82,12 +101,17 @@ class _Stretches(StatefulProcessor):
     def _given(self, key: tuple, piece: tuple, end_us: int | None) -> Iterator[Row]:
         state, us, _, *rest = piece
         if state is not None:
-            yield Row(*self.keys, *GIVEN)(*key, state, us, end_us, *rest)
+            yield Row(*self.keys, *GIVEN)(*key[: len(self.keys)], state, us, end_us, *rest)
 
     def _silent(self, piece: tuple, until_us: int) -> bool:
         return self.silence_us is not None and until_us - piece[2] > self.silence_us
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[-1] is not None:  # a group of whole stretches
+            for r in rows:
+                for piece in zip(*(r[f] for f in FIELDS)):
+                    yield from self._given(key, piece, piece[2])
+            return
         known = self.open.get() if self.open.exists() else None
         now = tuple(known) if known is not None else None
         # Slots of one key do not overlap, and a later batch holds later slots only.
@@ -145,7 +169,7 @@ def stretches(
     pieces = _pieces(_slots(samples, keys, value, state, delay, slot_s), keys, silence_us)
     types = dict(pieces.dtypes)
     shape = ", ".join(f"{k} {types[k]}" for k in keys)
-    return pieces.groupBy(*keys).transformWithState(
+    return pieces.groupBy(*keys, "_group").transformWithState(
         _Stretches(keys, silence_us, slot_s * SECOND),
         f"{shape}, state string, {STRETCH.format('end_us bigint, ')}",
         "append",

@@ -93,3 +93,14 @@ def test_each_slot_is_sorted_once(hist):
     plan = stateful._pieces(slots, ["tag"], 5)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sort_array") == 1
     assert plan.count("filter(transform(") == plan.count("array_min(") == 1
+
+
+def test_a_busy_slot_reaches_a_key_in_few_stretches(hist):
+    """Of a slot the tag's own key gets three stretches at most; those between come in groups of bounded size."""
+    n = 1000
+    slots = stateful._slots(hist([("a", t, t % 3) for t in range(n)]), ["tag"], F.col("value"), F.col("value").cast("string"), "1 minute", 3600)
+    rows = stateful._pieces(slots, ["tag"], None).collect()
+    assert max(len(r.us) for r in rows) <= 256
+    own = [r for r in rows if r["_group"] is None]
+    assert [len(r.us) for r in own] == [3]
+    assert sum(len(r.us) for r in rows if r["_group"] is not None) == n - 2
